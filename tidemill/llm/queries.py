@@ -25,5 +25,23 @@ def p2_report(spark: SparkSession, d: str) -> DataFrame:
     return overlap_report(spark, *read(spark, d, "metadata", "phash", "emb"))
 
 
-QUERIES: dict[str, Query] = {"p2_found": p2_found, "p2_report": p2_report}
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    from tidemill.llm.groups import match_groups
+
+    return match_groups(spark, *read(spark, d, "phash", "dhash", "pairs"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    from tidemill.llm.history import backfill
+
+    return backfill(spark, *read(spark, d, "metadata", "phash"))
+
+
+def p7_newest(spark: SparkSession, d: str) -> DataFrame:
+    from tidemill.llm.history import last_batch
+
+    return last_batch(spark, *read(spark, d, "metadata", "phash"))
+
+
+QUERIES: dict[str, Query] = {"p2_found": p2_found, "p2_report": p2_report, "p3_found": p3_found, "p7_found": p7_found, "p7_newest": p7_newest}
 SQL: dict[str, str] = {}
