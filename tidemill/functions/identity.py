@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: What counts as a blank at the ends of a value: white space, no-break space, byte order mark, zero width space.
-EDGE = "[\\s\\u00a0\\u2000-\\u200b\\u202f\\u3000\\ufeff]"
+#: What counts as a blank at the ends of a value: white space, no-break and typographic spaces, zero width space, byte order mark.
+BLANKS = " \t\n\r\x0b\x0c\u0085\u00a0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u202f\u205f\u3000\ufeff"
 
 
 def trimmed(c: Column) -> Column:
     """Without blanks of any kind at either end."""
-    return F.regexp_replace(c, f"^{EDGE}+|{EDGE}+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def word(c: Column) -> Column:
@@ -24,7 +24,7 @@ def digest(c: Column) -> Column:
 
     Case, outer blanks and an algorithm prefix before a colon carry no meaning.
     """
-    clean = F.regexp_replace(F.lower(c), f"^{EDGE}*(?:[a-z0-9_-]+{EDGE}*:{EDGE}*)?|{EDGE}+$", "")
+    clean = F.lower(trimmed(F.substring_index(c, ":", -1)))
     return F.when(clean.rlike("^[0-9a-f]{64}$"), clean)
 
 
@@ -34,7 +34,8 @@ def code(c: Column, digits: int, pad: bool = False) -> Column:
     Unusable: null, other signs than hex digits, too long, too short (unless ``pad`` fills leading zeros), and
     featureless codes whose bits are all 0 or all 1.
     """
-    clean = F.regexp_replace(F.lower(c), f"^{EDGE}*(?:0x)?|{EDGE}+$", "")
+    clean = F.lower(trimmed(c))
+    clean = F.when(clean.startswith("0x"), F.substring(clean, 3, 1_000_000)).otherwise(clean)
     shape = f"^[0-9a-f]{{1,{digits}}}$" if pad else f"^[0-9a-f]{{{digits}}}$"
     full = F.lpad(clean, digits, "0") if pad else clean
     return F.when(clean.rlike(shape) & ~full.isin("0" * digits, "f" * digits), full)
