@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.identity import code, digest, hamming, word
-from tidemill.llm.hamming import Layout, matching, runs_of
+from tidemill.llm.hamming import Layout, matching, runs_of, verified
 from tidemill.session import Scratch
 
 #: The spellings of the two sides, after lower-casing and trimming.
@@ -74,9 +74,7 @@ def code_overlaps(own: DataFrame, radius: int, scratch: Scratch) -> DataFrame:
     layout, runs = runs_of(F.col("code"), 64, radius)
     near = matching(codes.select("id", runs.alias("runs"), "lo", "hi"), layout, own.count())
     same = codes.filter((F.col("n") > 1) & (F.col("lo") < F.col("hi"))).select(F.col("id").alias("a"), F.col("id").alias("b"))
-    pairs = near.union(same).alias("p")
-    a, b = own.alias("a"), own.alias("b")
-    met = pairs.join(a, F.col("p.a") == F.col("a.id")).join(b, F.col("p.b") == F.col("b.id"))
+    met = verified(own, near.union(same), scratch)
     met = met.filter(facing("a", "b") & (F.col("a.digest") != F.col("b.digest")))
     met = met.filter(hamming(F.col("a.code"), F.col("b.code"), 64) <= radius)
     return met.select(*ordered(F.col("a.digest"), F.col("b.digest")))
@@ -91,9 +89,7 @@ def vector_overlaps(own: DataFrame, least: float, scratch: Scratch) -> DataFrame
     """The same for vectors of cosine ``least`` or more. own: digest, vec, lo, hi; one row per digest."""
     own = scratch.keep(own.withColumn("id", F.xxhash64("digest")))
     segments, layout = plane_runs(own)
-    pairs = matching(segments, layout, own.count()).alias("p")
-    a, b = own.alias("a"), own.alias("b")
-    met = pairs.join(a, F.col("p.a") == F.col("a.id")).join(b, F.col("p.b") == F.col("b.id"))
+    met = verified(own, matching(segments, layout, own.count()), scratch)
     met = met.filter(facing("a", "b") & (F.col("a.digest") != F.col("b.digest")))
     met = met.filter(cosine(F.col("a.vec"), F.col("b.vec")) >= least)
     return met.select(*ordered(F.col("a.digest"), F.col("b.digest")))

@@ -24,10 +24,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.session import Scratch
+
 #: Rows of one group in memory at once: about 30 MB of columns.
 GROUP_ROWS = 1 << 20
+#: Ids of matched codes are broadcast up to this many (8 bytes each), to read only their rows; beyond it they are joined.
+BROADCAST_IDS = 1 << 19
 #: Candidate pairs expanded at once inside a group.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 #: A run holds at most so many bits, to fit a bigint.
 RUN_BITS = 60
 
@@ -177,3 +181,18 @@ def matching(segments: DataFrame, layout: Layout, n: int, group_rows: int = GROU
 
     found = spread.groupBy("seg", "prefix", "cell").applyInArrow(join, "a bigint, b bigint")
     return found.distinct()
+
+
+def touched(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows whose id is in some pair, so that verification doesn't move the rest. pairs: a written table (a, b)."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    few = 2 * pairs.count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+
+
+def verified(rows: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
+    """Every pair of rows (as a.*, b.*) whose ids are a pair."""
+    pairs = scratch.keep(pairs)
+    own = touched(rows, pairs)
+    p, a, b = pairs.alias("p"), own.alias("a"), own.alias("b")
+    return p.join(a, F.col("p.a") == F.col("a.id")).join(b, F.col("p.b") == F.col("b.id"))

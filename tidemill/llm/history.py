@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.identity import code, digest, hamming, word
-from tidemill.llm.hamming import matching, runs_of
+from tidemill.llm.hamming import matching, runs_of, verified
 from tidemill.session import Scratch
 
 #: A digest without accepted rows: later than every batch.
@@ -61,9 +61,7 @@ def backfill(spark: SparkSession, metadata: DataFrame, phash: DataFrame, radius:
     layout, runs = runs_of(F.col("code"), 64, radius)
     near = matching(codes.select("id", runs.alias("runs"), "lo", "hi"), layout, codes.count())
     same = codes.filter("first <> last and lo < hi").select(F.col("id").alias("a"), F.col("id").alias("b"))
-    pairs = near.union(same).alias("p")
-    a, b = rows.alias("a"), rows.alias("b")
-    by_code = pairs.join(a, F.col("p.a") == F.col("a.id")).join(b, F.col("p.b") == F.col("b.id"))
+    by_code = verified(rows, near.union(same), scratch)
     by_code = by_code.filter(_earlier_accepted() & (F.col("a.digest") != F.col("b.digest")))
     by_code = by_code.filter(hamming(F.col("a.code"), F.col("b.code"), 64) <= radius).select(*_rows())
     slim = rows.select("row_id", "batch", "ok", F.unhex("digest").alias("digest")).distinct()
