@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemill.plans import problems
+
 Query = Callable[[SparkSession, str], DataFrame]
+MODULES = [problems]
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {k: v for m in MODULES for k, v in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for m in MODULES for k, v in m.SQL.items()}
