@@ -43,5 +43,39 @@ def p7_newest(spark: SparkSession, d: str) -> DataFrame:
     return last_batch(spark, *read(spark, d, "metadata", "phash"))
 
 
-QUERIES: dict[str, Query] = {"p2_found": p2_found, "p2_report": p2_report, "p3_found": p3_found, "p7_found": p7_found, "p7_newest": p7_newest}
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    from tidemill.llm.splits import torn
+
+    return torn(spark, *read(spark, d, "staged_images"))
+
+
+def p4_splits(spark: SparkSession, d: str) -> DataFrame:
+    from tidemill.llm.splits import assign
+
+    return assign(spark, *read(spark, d, "staged_images"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    from tidemill.llm.lookalike import alike
+
+    return alike(spark, *read(spark, d, "documents"))
+
+
+def p10_forms(spark: SparkSession, d: str) -> DataFrame:
+    from tidemill.llm.lookalike import with_form
+
+    return with_form(read(spark, d, "documents")[0].select("doc_id", "text")).select("doc_id", "form")
+
+
+QUERIES: dict[str, Query] = {
+    "p2_found": p2_found,
+    "p2_report": p2_report,
+    "p3_found": p3_found,
+    "p4_found": p4_found,
+    "p4_splits": p4_splits,
+    "p7_found": p7_found,
+    "p7_newest": p7_newest,
+    "p10_found": p10_found,
+    "p10_forms": p10_forms,
+}
 SQL: dict[str, str] = {}
