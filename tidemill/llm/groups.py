@@ -9,29 +9,52 @@ from tidemill.functions.identity import code, digest
 from tidemill.session import Scratch
 
 #: Rounds of breadth-first search before what was reached is contracted instead of awaited (a chain has no small diameter).
-FRONTIER_ROUNDS = 12
+FRONTIER_ROUNDS = 8
+
+
+def numbered(vertices: DataFrame, scratch: Scratch) -> DataFrame:
+    """(v, id): distinct vertices with dense numbers in their order: the position in a sorted partition plus the sizes of
+    the partitions before it, of which only the counts reach the driver."""
+    table = scratch.keep(vertices.repartitionByRange("v").sortWithinPartitions("v").withColumn("at", F.monotonically_increasing_id()))
+    part = F.call_function("shiftright", "at", F.lit(33)).cast("int")
+    counts = sorted(tuple(r) for r in table.groupBy(part.alias("p")).count().collect())
+    before, total = [], 0
+    for p, n in counts:
+        before.append((p, total))
+        total += n
+    start = F.create_map(*(F.lit(x) for pair in before for x in pair)) if before else F.create_map(F.lit(0), F.lit(0))
+    return table.select("v", (F.element_at(start, part).cast("bigint") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).alias("id"))
 
 
 def components(spark: SparkSession, edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(v, root) for every vertex of the undirected edges (a, b): root is the smallest vertex linked to v.
 
-    First the component of the vertex of highest degree is peeled: a frontier grows by joins with the edges until it is
-    empty, and the component is anti-joined away, so that a giant component costs rounds by its (small) diameter and its
-    edges never enter the rounds that follow. If the frontier is not empty after FRONTIER_ROUNDS, the vertices reached are
-    contracted to one. What is left is labelled by minimum propagation with pointer jumping, in a number of rounds that is
-    logarithmic in the longest chain. Only one vertex and counts ever reach the driver.
+    Vertices are numbered in their order, so that every round moves 8 byte numbers. First the component of the vertex of
+    highest degree is peeled: a frontier grows by joins with the edges until it is empty, and the component is anti-joined
+    away, so that a giant component costs rounds by its (small) diameter and its edges never enter the rounds that follow.
+    If the frontier is not empty after FRONTIER_ROUNDS, the vertices reached are contracted to one. What is left is
+    labelled by minimum propagation that contracts what it has labelled, in a number of rounds that is logarithmic in the
+    longest chain. Only one vertex and counts ever reach the driver.
 
     Null ends and loops link nothing; repeated edges and either order count once; no edges give no rows.
     """
     scratch = scratch or Scratch(spark, "components")
-    e = edges.select("a", "b").filter("a is not null and b is not null and a <> b")
-    both = scratch.keep(e.union(e.select(F.col("b"), F.col("a"))).distinct())
+    e = scratch.keep(edges.select("a", "b").filter("a is not null and b is not null and a <> b"))
+    names = scratch.keep(numbered(e.select(F.explode(F.array("a", "b")).alias("v")).distinct(), scratch))
+    of = lambda c: names.select(F.col("v").alias(c), F.col("id").alias(f"i{c}"))
+    ids = e.join(of("a"), "a").join(of("b"), "b").select(F.col("ia").alias("a"), F.col("ib").alias("b"))
+    root = component_ids(spark, ids, scratch)
+    roots = names.select(F.col("v").alias("final"), F.col("id").alias("root"))
+    return names.join(root, "id").join(roots, "root").select("v", F.col("final").alias("root"))
+
+
+def component_ids(spark: SparkSession, edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, root) of every numbered vertex of the edges (a, b)."""
+    both = scratch.keep(edges.union(edges.select(F.col("b"), F.col("a"))).distinct())
     top = both.groupBy("a").count().orderBy(F.desc("count"), "a").limit(1).collect()
     if not top:
-        return both.select(F.col("a").alias("v"), F.col("b").alias("root")).limit(0)
-    hub = F.lit(top[0]["a"])
-
-    seen = scratch.keep(both.filter(F.col("a") == hub).select("a").limit(1))
+        return both.select(F.col("a").alias("id"), F.col("b").alias("root")).limit(0)
+    seen = scratch.keep(both.filter(F.col("a") == top[0]["a"]).select("a").limit(1))
     frontier, rounds, done = seen, 0, False
     while not done and rounds < FRONTIER_ROUNDS:
         step = both.join(frontier.select("a"), "a").select(F.col("b").alias("a")).distinct()
@@ -42,35 +65,39 @@ def components(spark: SparkSession, edges: DataFrame, scratch: Scratch | None =
             scratch.drop(seen)
             seen, frontier = wider, fresh
         rounds += 1
-
-    least = seen.agg(F.min("a").alias("root"))
-    peeled = seen.select(F.col("a").alias("v")).crossJoin(F.broadcast(least))  # one row
+    least = F.lit(seen.agg(F.min("a")).first()[0]).cast("bigint")
+    peeled = seen.select(F.col("a").alias("id"), least.alias("root"))
     if done:
         rest = both.join(seen, "a", "left_anti")
     else:
-        mark = peeled.select(F.col("v").alias("a"), "root")
-        one = both.join(mark, "a", "left").select(F.coalesce("root", "a").alias("a"), "b")
-        mark = mark.select(F.col("a").alias("b"), "root")
-        rest = one.join(mark, "b", "left").select("a", F.coalesce("root", "b").alias("b")).filter("a <> b").distinct()
-    rest = scratch.keep(rest)
-
-    label = scratch.keep(rest.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "v"))
-    while True:
-        near = rest.join(label, F.col("b") == F.col("v")).groupBy("a").agg(F.min("root").alias("near"))
-        new = label.join(near, F.col("v") == F.col("a")).select("v", F.col("root").alias("old"), F.least("root", "near").alias("mid"))
-        far = label.select(F.col("v").alias("mid"), F.col("root").alias("far"))
-        new = scratch.keep(new.join(far, "mid", "left").select("v", "old", F.least("mid", "far").alias("root")))
-        moved = not new.filter("root <> old").isEmpty()
-        scratch.drop(label)
-        label = new.select("v", "root")
-        label._scratch_path = new._scratch_path
-        if not moved:
-            break
+        mark = lambda c: seen.select(F.col("a").alias(c), F.lit(True).alias("in"))
+        to = lambda c: F.when(F.col("in"), least).otherwise(F.col(c)).alias(c)
+        rest = both.join(mark("a"), "a", "left").select(to("a"), "b").join(mark("b"), "b", "left").select("a", to("b")).filter("a <> b").distinct()
+
+    # Every vertex takes the smallest number around it, twice over, and what took the same number becomes one vertex. Small
+    # components are one vertex after a round and leave; a chain shrinks several-fold each round, whatever its length.
+    live, maps = scratch.keep(rest), []
+    while not live.isEmpty():
+        near = scratch.keep(live.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("near")))
+        again = near.select(F.col("a").alias("near"), F.col("near").alias("root"))
+        maps.append(scratch.keep(near.join(again, "near").select(F.col("a").alias("id"), "root")))
+        end = lambda c: maps[-1].select(F.col("id").alias(c), F.col("root").alias(f"r{c}"))  # noqa: E731, B023
+        shrunk = live.join(end("a"), "a").join(end("b"), "b").filter("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
+        shrunk = scratch.keep(shrunk)
+        scratch.drop(live)
+        scratch.drop(near)
+        live = shrunk
+    if not maps:
+        return peeled
+    label = maps[-1]
+    for earlier in reversed(maps[:-1]):
+        later = label.select(F.col("id").alias("root"), F.col("root").alias("final"))
+        label = scratch.keep(earlier.join(later, "root", "left").select("id", F.coalesce("final", "root").alias("root")))
     if done:
-        return label.union(peeled.select("v", "root"))
-    whole = label.select(F.col("v").alias("root"), F.col("root").alias("final"))
-    peeled = peeled.join(whole, "root", "left").select("v", F.coalesce("final", "root").alias("root"))
-    return label.join(peeled.select("v"), "v", "left_anti").union(peeled)
+        return label.union(peeled)
+    whole = label.select(F.col("id").alias("root"), F.col("root").alias("final"))
+    peeled = peeled.join(whole, "root", "left").select("id", F.coalesce("final", "root").alias("root"))
+    return label.join(peeled.select("id"), "id", "left_anti").union(peeled)
 
 
 def equal_code_edges(codes: DataFrame) -> DataFrame:

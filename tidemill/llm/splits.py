@@ -17,7 +17,7 @@ SPLITS = {"train": "train", "training": "train", "val": "val", "valid": "val", "
 NONE_WORDS = ["none", "null", "nil", "na", "n/a", "n.a.", "n.a", "nan", "unknown", "unk", "unspecified", "undefined", "missing", "not available", "not applicable", "no group", "ungrouped", "tbd", "<na>", "<none>", "<null>", "(none)", "(null)", "[none]", "#n/a"]
 #: Target proportions, and equal bins that are dealt out to them.
 PROPORTIONS = {"train": 0.70, "val": 0.15, "test": 0.15}
-BINS = 20
+BINS = 40
 #: A site code, a date and a frame number, in this order; marks before the number are letters or signs.
 FRAME = r"(?<![a-z0-9])([a-z]{3})[^a-z0-9]*([a-z]?)[^a-z0-9]*(\d{3,4})[^a-z0-9]+(\d{4})[^a-z0-9]?(\d{2})[^a-z0-9]?(\d{2})(?:[^a-z0-9]+(?:frame|frm|fr|f|img|image|no|nr|num|n|seq|s|shot|pic|photo|p)?[^a-z0-9]*|(?:frame|frm|fr|f|img|image|no|nr|num|n|seq|s|shot|pic|photo|p)[^a-z0-9]*)(\d+)"
 
