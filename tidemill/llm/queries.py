@@ -67,15 +67,59 @@ def p10_forms(spark: SparkSession, d: str) -> DataFrame:
     return with_form(read(spark, d, "documents")[0].select("doc_id", "text")).select("doc_id", "form")
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    from tidemill.llm.neighbours import similar_pairs
+
+    return similar_pairs(spark, *read(spark, d, "emb"))
+
+
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    from tidemill.llm.bpe import encode
+
+    return encode(*read(spark, d, "documents"))
+
+
+def p8_decoded(spark: SparkSession, d: str) -> DataFrame:
+    from tidemill.llm.bpe import decode, encode
+
+    return decode(encode(*read(spark, d, "documents")))
+
+
+def p8_counts(spark: SparkSession, d: str) -> DataFrame:
+    from tidemill.llm.bpe import token_counts
+
+    return token_counts(spark, *read(spark, d, "documents"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    from tidemill.llm.leaks import exact, leaks
+
+    return exact(leaks(spark, *read(spark, d, "documents", "bench_items")))
+
+
+def p9_edited(spark: SparkSession, d: str) -> DataFrame:
+    from tidemill.llm.leaks import edited, leaks
+
+    return edited(leaks(spark, *read(spark, d, "documents", "bench_items"), rare=0.001))
+
+
 QUERIES: dict[str, Query] = {
     "p2_found": p2_found,
     "p2_report": p2_report,
     "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_splits": p4_splits,
+    "p5_found": p5_found,
     "p7_found": p7_found,
     "p7_newest": p7_newest,
+    "p8_ids": p8_ids,
+    "p8_decoded": p8_decoded,
+    "p8_counts": p8_counts,
+    "p9_found": p9_found,
+    "p9_edited": p9_edited,
     "p10_found": p10_found,
     "p10_forms": p10_forms,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "p8_decoded": "select doc_id, coalesce(text, '') as text from documents",
+}
