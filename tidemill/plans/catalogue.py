@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.plans import problems
+from tidemill.plans import problems, scalars
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = [problems]
+MODULES = [problems, scalars]
 
 
 def queries() -> dict[str, Query]:
