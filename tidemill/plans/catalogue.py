@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.plans import problems, scalars
+from tidemill.plans import measures, ordering, problems, quality, relations, scalars, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = [problems, scalars]
+MODULES = [problems, scalars, relations, ordering, measures, quality, streams]
 
 
 def queries() -> dict[str, Query]:

@@ -115,7 +115,7 @@ def stem_words(spark: SparkSession, d: str) -> DataFrame:
 
 def caption_template(spark: SparkSession, d: str) -> DataFrame:
     m = t(spark, d, "metadata")
-    depth = F.when(~F.isnan("depth_m"), F.concat(F.lit("at "), F.format_string("%.1f", F.col("depth_m").cast("double")), F.lit(" m")))
+    depth = F.when(F.col("depth_m").isNotNull() & ~F.isnan("depth_m"), F.concat(F.lit("at "), F.format_string("%.1f", F.col("depth_m").cast("double")), F.lit(" m")))
     clauses = [F.concat(F.lit("taken by "), word(F.col("platform"))), depth, F.concat(F.lit("near site "), trimmed(F.col("site_id"))), F.concat(F.lit("in "), F.year("capture_datetime").cast("string"))]
     return m.select("row_id", text.caption(clauses).alias("caption"), text.facts(clauses).alias("facts"))
 
