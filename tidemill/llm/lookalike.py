@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Letters whose whole glyph is drawn like a Latin letter (left), by script.
 ALIKE = {
-    "a": "а", "c": "сϲ", "d": "ԁ", "e": "е", "g": "ɡ", "h": "һ", "i": "іι", "j": "јϳ", "k": "", "l": "ӏ", "o": "оο", "p": "рρ", "q": "ԛ",
+    "a": "а", "c": "сϲ", "d": "ԁ", "e": "е", "g": "ɡ", "h": "һ", "i": "і", "j": "јϳ", "k": "", "l": "ӏ", "o": "оο", "p": "рρ", "q": "ԛ",
     "s": "ѕ", "v": "νѵ", "w": "ԝ", "x": "х", "y": "у",
     "A": "АΑ", "B": "ВΒ", "C": "СϹ", "E": "ЕΕ", "F": "Ϝ", "G": "Ԍ", "H": "НΗ", "I": "ІΙӀ", "J": "ЈͿ", "K": "КΚ", "M": "МΜϺ", "N": "Ν", "O": "ОΟ", "P": "РΡ",
     "Q": "Ԛ", "S": "Ѕ", "T": "ТΤ", "V": "Ѵ", "W": "Ԝ", "X": "ХΧ", "Y": "ҮΥ", "Z": "Ζ",
@@ -25,12 +25,13 @@ HYPHENS = "‐‑－﹣"
 JOINED = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "ſt", "ﬆ": "st", "Ĳ": "IJ", "ĳ": "ij", "Ǉ": "LJ", "ǈ": "Lj", "ǉ": "lj", "Ǌ": "NJ", "ǋ": "Nj", "ǌ": "nj", "Ǳ": "DZ", "ǲ": "Dz", "ǳ": "dz"}
 # Ranges of characters that draw nothing (default ignorable code points, and controls without effect on lines).
 NOTHING = "\x00-\x08\x0e-\x1f\x7f-\x84\x86-\x9f­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ\U000e0000-\U000e0fff"
+CONTROL = re.compile("[\x00-\x08\x0e-\x1f\x7f]")
 # Blanks drawn as one space.
 SPACES = "  -   　"
 
 
 @cache
-def _tables() -> tuple[dict[int, str], regex.Pattern]:
+def _tables() -> tuple[dict[int, str], re.Pattern]:
     """What a single character becomes (before composition), and the pattern of unstable segments with their context.
 
     A character is stable if it becomes itself and the quick check of composition says that it neither combines with what
@@ -39,7 +40,7 @@ def _tables() -> tuple[dict[int, str], regex.Pattern]:
     """
     to = {ord(c): k for k, v in ALIKE.items() for c in v}
     to |= {ord(c): "-" for c in HYPHENS} | {ord(k): v for k, v in JOINED.items()}
-    nothing, space = regex.compile(f"[{NOTHING}]"), regex.compile(f"[{SPACES}]")
+    nothing, space = re.compile(f"[{NOTHING}]"), re.compile(f"[{SPACES}]")
     unstable = []
     for cp in range(0x110000):
         if 0x3400 <= cp < 0xA000 or 0xE000 <= cp < 0xF900 or 0x20000 <= cp < 0x2F800 or 0xD800 <= cp < 0xE000 or 0x30000 <= cp < 0xE0000 or cp >= 0xE1000:
@@ -65,10 +66,10 @@ def _tables() -> tuple[dict[int, str], regex.Pattern]:
         else:
             spans.append([cp, cp])
     kinds = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans)
-    return to, regex.compile(f"[^{kinds}]?[{kinds}]+")
+    return to, re.compile(f"[^{kinds}]?[{kinds}]+")
 
 
-def _segment(m: regex.Match) -> str:
+def _segment(m: re.Match) -> str:
     to = _tables()[0]
     s = m.group().translate(to)
     return unicodedata.normalize("NFC", unicodedata.normalize("NFD", s).translate(to))
@@ -76,7 +77,7 @@ def _segment(m: regex.Match) -> str:
 
 def one_form(text: str) -> str:
     """The canonical form: equal for texts that look the same, and the text itself where nothing in it is unstable."""
-    if text.isascii() and text.isprintable():
+    if text.isascii() and not CONTROL.search(text):
         return text
     return _tables()[1].sub(_segment, text)
 
