@@ -1,0 +1,97 @@
+"""Allocation of whole groups to splits, from group counters.
+
+The rules are sequential by nature (each group goes where most is missing), so they run on counters, one per group *size*
+class where groups are interchangeable, and the assignment is joined back. ``greedy`` itself is for strata of bounded
+numbers of groups (sites, surveys); for corpora with unbounded numbers of groups use ``by_hash``, which needs no counters.
+"""
+
+from __future__ import annotations
+
+import hashlib
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidemill.operators.sample import unit
+
+#: Groups that ``greedy`` accepts; their counters reach the driver (about 100 bytes each).
+MAX_GROUPS = 1_000_000
+
+
+def order_of(counts: dict[str, int], seed: str) -> list[str]:
+    """Largest first; equal sizes by the hash of seed and key."""
+    return sorted(counts, key=lambda g: (-counts[g], hashlib.sha256(f"{seed}:{g}".encode()).hexdigest()))
+
+
+def fill(counts: dict[str, int], ratios: dict[str, float], seed: str = "0") -> dict[str, str]:
+    """Each group to the split that lacks most of its target; ties to the split whose name comes last."""
+    total, filled, out = sum(counts.values()), dict.fromkeys(ratios, 0), {}
+    for g in order_of(counts, seed):
+        to = max(ratios, key=lambda s: (ratios[s] * total - filled[s], s))
+        filled[to] += counts[g]
+        out[g] = to
+    return out
+
+
+def repaired(counts: dict[str, int], given: dict[str, str], ratios: dict[str, float]) -> dict[str, str]:
+    """No split stays empty: the group nearest to its target size moves there, from a split that keeps at least one."""
+    out = dict(given)
+    total = sum(counts.values())
+    for s in sorted(ratios):
+        if s in out.values():
+            continue
+        members = {}
+        for g, x in out.items():
+            members.setdefault(x, []).append(g)
+        free = sorted(g for m in members.values() if len(m) > 1 for g in m)
+        if free:
+            out[min(free, key=lambda g: (abs(counts[g] - ratios[s] * total), g))] = s
+    return out
+
+
+def greedy(rows: DataFrame, group: str, ratios: dict[str, float], seed: str = "0") -> DataFrame:
+    """(group, n, split) of every non-null group."""
+    n = rows.filter(F.col(group).isNotNull()).groupBy(group).agg(F.count("*").alias("n"))
+    got = n.limit(MAX_GROUPS + 1).collect()
+    if len(got) > MAX_GROUPS:
+        raise ValueError("too many groups for counters on the driver; allocate by hash")
+    counts = {r[group]: r["n"] for r in got}
+    split = repaired(counts, fill(counts, ratios, seed), ratios)
+    return rows.sparkSession.createDataFrame([(g, counts[g], split[g]) for g in counts], f"`{group}` string, n bigint, split string")
+
+
+def by_hash(key: Column, ratios: dict[str, float], seed: str = "0") -> Column:
+    """The split of a key by its hash: no counters, the same for ever."""
+    u, edge, out = unit(key, seed=seed), 1.0, None
+    for s, p in reversed(ratios.items()):
+        out = F.lit(s) if out is None else F.when(u < edge, s).otherwise(out)
+        edge -= p
+    return out
+
+
+def folds(rows: DataFrame, group: str, k: int, seed: str = "0") -> DataFrame:
+    """(group, n, fold): largest group first to the smallest fold, ties to the lowest number."""
+    n = rows.filter(F.col(group).isNotNull()).groupBy(group).agg(F.count("*").alias("n"))
+    got = n.limit(MAX_GROUPS + 1).collect()
+    if len(got) > MAX_GROUPS:
+        raise ValueError("too many groups for counters on the driver")
+    counts, load, out = {r[group]: r["n"] for r in got}, [0] * k, []
+    for g in order_of(counts, seed):
+        i = min(range(k), key=lambda f: (load[f], f))
+        load[i] += counts[g]
+        out.append((g, counts[g], i))
+    return rows.sparkSession.createDataFrame(out, f"`{group}` string, n bigint, fold int")
+
+
+def grown(known: DataFrame, fresh: DataFrame, group: str, ratios: dict[str, float]) -> DataFrame:
+    """An append-only map: known groups keep their split, new ones are hashed."""
+    new = fresh.select(group).filter(F.col(group).isNotNull()).distinct().join(known.select(group), group, "left_anti")
+    return known.select(group, "split").union(new.select(group, by_hash(F.col(group), ratios)))
+
+
+def held_out(rows: DataFrame, group: str, rules: dict[str, Column]) -> DataFrame:
+    """(group, rule, n): groups of which any row matches a rule, under the first rule that matches; a null never matches."""
+    hit = [F.max(F.coalesce(c, F.lit(False))).alias(f"_{k}") for k, c in rules.items()]
+    by = rows.filter(F.col(group).isNotNull()).groupBy(group).agg(F.count("*").alias("n"), *hit)
+    rule = F.coalesce(*(F.when(F.col(f"_{k}"), k) for k in rules))
+    return by.select(group, rule.alias("rule"), "n").filter("rule is not null")
