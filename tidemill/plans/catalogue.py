@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.plans import grouping, measures, ordering, problems, quality, relations, scalars, streams
+from tidemill.plans import grouping, measures, ordering, problems, quality, relations, scalars, storage, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = [problems, scalars, relations, ordering, measures, quality, streams, grouping]
+MODULES = [problems, scalars, relations, ordering, measures, quality, streams, grouping, storage]
 
 
 def queries() -> dict[str, Query]:

@@ -111,7 +111,7 @@ QUERIES = {f.__name__: f for f in (group_allocation, stratum_allocation, grouped
 def fold_sql(table: str, key: str, ratios: dict[str, float], seed: str) -> str:
     """The greedy rule as a recursive fold: groups in order, each to the split with the largest deficit, ties to the last name."""
     cols = ", ".join(f"0::bigint as {s}" for s in ratios)
-    lack = ", ".join(f"{{'d': {r} * total - {s}, 's': '{s}'}}" for s, r in ratios.items())
+    lack = ", ".join(f"{{'d': {r}::double * total - {s}, 's': '{s}'}}" for s, r in ratios.items())
     step = ", ".join(f"w.{s} + case when c.s = '{s}' then o.n else 0 end" for s in ratios)
     return f"""g as (select {key} as k, count(*) as n from {table} where {key} is not null group by 1), o as (select k, n, row_number() over (order by n desc, sha256('{seed}:' || k)) as i, sum(n) over () as total from g),
  w as (select 0::bigint as i, null::varchar as k, 0::bigint as n, null::varchar as split, {cols} union all select o.i, o.k, o.n, c.s, {step} from w join o on o.i = w.i + 1, lateral (select list_max([{lack}]).s as s) c)"""

@@ -127,7 +127,7 @@ def box_geometry(spark: SparkSession, d: str) -> DataFrame:
     w = (F.pmod(F.col("staged_id") * 53, F.lit(1500))).cast("double")
     low, high, clipped = geo.unit_span(x, x + w, F.col("width"))
     a, b = geo.pixel_span(low, high, F.col("width"))
-    return s.select("staged_id", F.round(low, 6).alias("x_min"), F.round(high, 6).alias("x_max"), clipped.alias("clipped"), a.alias("px_min"), b.alias("px_max"))
+    return s.select("staged_id", F.floor(low * 1_000_000).alias("x_min_ppm"), F.floor(high * 1_000_000).alias("x_max_ppm"), clipped.alias("clipped"), a.alias("px_min"), b.alias("px_max"))
 
 
 def site_extents(spark: SparkSession, d: str) -> DataFrame:
@@ -214,7 +214,7 @@ SQL = {
  select row_id, case when len(l) = 0 then '' else upper(substr(array_to_string(l, ', '), 1, 1)) || substr(array_to_string(l, ', '), 2) || '.' end as caption, len(l)::int as facts from c""",
     "box_geometry": """with b as (select staged_id, width, ((staged_id * 37) % 5000 - 400)::double as x, ((staged_id * 53) % 1500)::double as w from staged_images),
  u as (select *, greatest(0.0, least(1.0, x / width)) as low, greatest(0.0, least(1.0, (x + w) / width)) as high, (x < 0 or x + w > width) as clipped from b)
- select staged_id, case when high > low then round(low, 6) end as x_min, case when high > low then round(high, 6) end as x_max, clipped,
+ select staged_id, case when high > low then floor(low * 1000000)::bigint end as x_min_ppm, case when high > low then floor(high * 1000000)::bigint end as x_max_ppm, clipped,
   case when high > low then floor(low * width + 1e-6)::int end as px_min, case when high > low then ceil(high * width - 1e-6)::int end as px_max from u""",
     "site_extents": f"""with s as (select distinct island, lat, lon from noaa_esd where lat between -90 and 90 and lon between -180 and 360),
  e as (select a.island, max({HAV('a.lat', 'a.lon', 'b.lat', 'b.lon')}) as m from s a join s b on a.island = b.island group by 1),
