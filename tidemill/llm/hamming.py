@@ -135,13 +135,19 @@ def _join_group(table: pa.Table, layout: Layout, prefix: int) -> Iterator[tuple[
             yield from pairs(away, col("want")[away], False)
 
 
+def keyed(segments: DataFrame) -> DataFrame:
+    """One row per code and segment: id, lo, hi, seg, run."""
+    return segments.select("id", "lo", "hi", F.posexplode("runs").alias("seg", "run"))
+
+
 def matching(segments: DataFrame, layout: Layout, n: int, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Pairs (a, b), a <= b by id, of codes that pass the limits of some segment; verify them on the codes.
 
-    ``segments``: id bigint, runs array<bigint> (one run per segment), lo int, hi int; n: its number of rows. Only pairs
-    with lo_a < hi_b or lo_b < hi_a come out (train before evaluation, accepted batch before later batch).
+    ``segments``: id bigint, runs array<bigint> (one run per segment), lo int, hi int, or the same as ``keyed`` gives it; n:
+    the number of codes. Only pairs with lo_a < hi_b or lo_b < hi_a come out (train before evaluation, accepted batch before
+    later batch).
     """
-    spread = segments.select("id", "lo", "hi", F.posexplode("runs").alias("seg", "run"))
+    spread = keyed(segments) if "runs" in segments.columns else segments
     h = min(16, max(0, math.ceil(math.log2(max(1, n) / group_rows))), *(b[0] - 1 for b in layout.bits))
     tail = F.element_at(F.array(*(F.lit(b[2] - b[0]) for b in layout.bits)), F.col("seg") + 1)
     width = F.element_at(F.array(*(F.lit(b[0]) for b in layout.bits)), F.col("seg") + 1)

@@ -1,4 +1,13 @@
-"""Problem 7: new batches deduplicated against everything accepted before."""
+"""Problem 7: new batches deduplicated against everything accepted before.
+
+A code is the set of its 256 features (position, bit). One-permutation minwise hashing with a bin per position has as the
+minimum of each bin the one feature of that position which the set holds, so the minwise signature is 256 values of one
+bit each; they are cut into 13 bands. Random bins would find a pair 24 bits apart with a probability below 1 (measured in
+the README); with these bins, and each band also probed with one value changed, it is found for certain, because one of
+13 bands differs in at most one of 24 differences. What is persisted per code and band is the band's key with the values
+of the next two bands as signature, partitioned by the hash of the key; a probe reads matching buckets, drops what the
+signatures tell apart, and verifies the rest on the whole codes; then the accepted rows' keys are appended.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.identity import code, digest, hamming, word
-from tidemill.llm.hamming import matching, runs_of, verified
+from tidemill.llm.hamming import keyed, matching, runs_of, verified
 from tidemill.session import Scratch
 
 #: A digest without accepted rows: later than every batch.
@@ -59,7 +68,8 @@ def backfill(spark: SparkSession, metadata: DataFrame, phash: DataFrame, radius:
     )
     codes = scratch.keep(codes)
     layout, runs = runs_of(F.col("code"), 64, radius)
-    near = matching(codes.select("id", runs.alias("runs"), "lo", "hi"), layout, codes.count())
+    keys = scratch.keep(keyed(codes.select("id", runs.alias("runs"), "lo", "hi")))
+    near = matching(keys, layout, codes.count())
     same = codes.filter("first <> last and lo < hi").select(F.col("id").alias("a"), F.col("id").alias("b"))
     by_code = verified(rows, near.union(same), scratch)
     by_code = by_code.filter(_earlier_accepted() & (F.col("a.digest") != F.col("b.digest")))
