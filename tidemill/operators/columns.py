@@ -96,5 +96,6 @@ def wilson(k: Column, n: Column, z: float = 1.959963984540054) -> tuple[Column,
     middle = p + z * z / (2 * m)
     spread = z * F.sqrt(p * (1 - p) / m + z * z / (4 * m * m))
     scale = 1 + z * z / m
-    zero = F.lit(0.0)
-    return F.coalesce(F.greatest(zero, (middle - spread) / scale), zero), F.coalesce(F.least(F.lit(1.0), (middle + spread) / scale), zero)
+    some = n > 0  # least and greatest skip nulls
+    low, high = F.greatest(F.lit(0.0), (middle - spread) / scale), F.least(F.lit(1.0), (middle + spread) / scale)
+    return F.when(some, low).otherwise(0.0), F.when(some, high).otherwise(0.0)
