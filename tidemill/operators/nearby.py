@@ -305,7 +305,7 @@ def found(spark: SparkSession, metadata: DataFrame, sites: DataFrame, outlines:
     by_site = within(exact, site, site_m).select(F.lit("site").alias("kind"), "l.row_id", F.col("r.site_id").alias("other")).distinct()
 
     # positions first: one row per place and source, however many images share it
-    where = exact.filter("source_id is not null").withColumn("place", F.xxhash64("lat", "lon", "source_id"))
+    where = exact.filter("source_id is not null").withColumn("place", F.struct(F.xxhash64("lat", "lon", "source_id"), F.xxhash64("source_id", "lon", "lat")))
     spots = where.groupBy("place", "lat", "lon", "source_id").agg(F.count("*").alias("n"))
     near = within(spots, spots, image_m).filter((F.col("l.source_id") != F.col("r.source_id")) & (F.col("l.place") < F.col("r.place")))
     near = scratch.keep(near.select(F.col("l.place").alias("a"), F.col("r.place").alias("b")))

@@ -20,14 +20,18 @@ def unit(*parts: Column | str, seed: str = "0") -> Column:
     return F.conv(F.substring(draw(*parts, seed=seed), 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
+def first_rows(df: DataFrame, group: list[str], order: list[Column], cap: int | Column, spread: Column, buckets: int = 64) -> DataFrame:
+    """The first ``cap`` rows of each group in an order. First within ``buckets`` pieces of a group, by the hash of ``spread``,
+    then among the survivors, so that a group of a third of all rows is ranked in pieces. ``cap`` may be a column."""
+    x = df.withColumn("_b", F.pmod(F.xxhash64(spread), F.lit(buckets)))
+    for part in ([*group, "_b"], group):
+        x = x.withColumn("_r", F.row_number().over(Window.partitionBy(*part).orderBy(*order))).filter(F.col("_r") <= cap)
+    return x.drop("_b", "_r")
+
+
 def lowest(df: DataFrame, group: list[str], key: str, cap: int, seed: str = "0", buckets: int = 64) -> DataFrame:
-    """The ``cap`` rows of each group with the lowest draws. First within buckets of a group, then among the survivors, so
-    that a group of a third of all rows is ranked in pieces."""
-    x = df.withColumn("_d", draw(key, seed=seed)).withColumn("_b", F.pmod(F.xxhash64(key), F.lit(buckets)))
-    order = [F.col("_d"), F.col(key)]
-    x = x.withColumn("_r", F.row_number().over(Window.partitionBy(*group, "_b").orderBy(*order))).filter(F.col("_r") <= cap)
-    x = x.withColumn("_r", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).filter(F.col("_r") <= cap)
-    return x.drop("_d", "_b", "_r")
+    """The ``cap`` rows of each group with the lowest draws; ties by key."""
+    return first_rows(df.withColumn("_d", draw(key, seed=seed)), group, [F.col("_d"), F.col(key)], cap, F.col(key), buckets).drop("_d")
 
 
 def positions(df: DataFrame, *order: str, out: str = "i") -> DataFrame:
@@ -58,8 +62,8 @@ def quotas(df: DataFrame, stratum: str, n: int) -> DataFrame:
 
 def stratified(df: DataFrame, stratum: str, key: str, n: int, seed: str = "0") -> DataFrame:
     """A proportional sample: each stratum's quota of rows with the lowest draws."""
-    x = df.join(quotas(df, stratum, n), stratum).withColumn("_r", F.row_number().over(Window.partitionBy(stratum).orderBy(draw(key, seed=seed), key)))
-    return x.filter(F.col("_r") <= F.col("quota")).drop("_r", "size", "quota")
+    x = df.join(quotas(df, stratum, n), stratum)
+    return first_rows(x, [stratum], [draw(key, seed=seed), F.col(key)], F.col("quota"), F.col(key)).drop("size", "quota")
 
 
 def whole_groups(df: DataFrame, group: str, cap: int, seed: str = "0") -> DataFrame:

@@ -26,8 +26,7 @@ def first_photo(spark: SparkSession, d: str) -> DataFrame:
 def capped_admission(spark: SparkSession, d: str) -> DataFrame:
     """Filter, thin by hash, then the first rows of each stratum in arrival order."""
     m = t(spark, d, "metadata").filter(C.predicate(F.col("platform"), "ne", "towed") & (S.unit("row_id") < 0.5))
-    w = Window.partitionBy("source_id").orderBy("ingested_at", "row_id")
-    return m.select("row_id", "source_id", F.row_number().over(w).alias("r")).filter("r <= 5").select("row_id", "source_id")
+    return S.first_rows(m.select("row_id", "source_id", "ingested_at"), ["source_id"], [F.col("ingested_at"), F.col("row_id")], 5, F.col("row_id")).select("row_id", "source_id")
 
 
 def stratified_sample(spark: SparkSession, d: str) -> DataFrame:
