@@ -27,7 +27,7 @@ def kappa(df: DataFrame, a: str, b: str, pooled: bool = False) -> DataFrame:
     pb = c.groupBy(F.col("b").alias("l")).agg(F.sum("n").alias("y"))
     m = pa.join(pb, "l", "full_outer").select(F.coalesce("x", F.lit(0)).alias("x"), F.coalesce("y", F.lit(0)).alias("y"))
     prod = (F.col("x") + F.col("y")) * (F.col("x") + F.col("y")) / 4.0 if pooled else F.col("x").cast("double") * F.col("y")
-    e = m.agg(F.sum(prod).alias("e")).crossJoin(total)
+    e = m.agg(F.sum(prod).alias("e")).withColumns({k: total.select(k).scalar() for k in ("n", "same")})
     po, pe = F.col("same") / F.col("n"), F.col("e") / (F.col("n").cast("double") * F.col("n"))
     return e.select("n", F.round(po, 6).alias("observed"), F.round(pe, 6).alias("expected"), F.round((po - pe) / F.nullif(1 - pe, F.lit(0.0)), 6).alias("kappa"))
 
@@ -44,7 +44,7 @@ def recall_threshold(df: DataFrame, score: str, positive: str, recall: float) ->
     distinct score are summed in order."""
     by = df.groupBy(score).agg(F.count("*").alias("n"), F.sum(F.col(positive).cast("bigint")).alias("k"))
     w = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    run = by.select(score, F.sum("n").over(w).alias("n"), F.sum("k").over(w).alias("k")).crossJoin(by.agg(F.sum("k").alias("all")))
+    run = by.select(score, F.sum("n").over(w).alias("n"), F.sum("k").over(w).alias("k")).withColumn("all", by.agg(F.sum("k")).scalar())
     ok = run.filter(F.col("k") >= recall * F.col("all"))
     best = ok.agg(F.max(score).alias("threshold"), F.max_by("k", score).alias("k"), F.max_by("n", score).alias("n"), F.max("all").alias("all"))
     return best.select("threshold", F.round(F.col("k") / F.col("all"), 6).alias("recall"), F.round(F.col("k") / F.col("n"), 6).alias("precision"))

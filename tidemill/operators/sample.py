@@ -47,7 +47,7 @@ def positions(df: DataFrame, *order: str, out: str = "i") -> DataFrame:
 
 def stride(df: DataFrame, order: str, n: int) -> DataFrame:
     """n rows spread evenly over the sorted rows: those at floor(i * rows / n)."""
-    x = positions(df, order, out="_i").crossJoin(F.broadcast(df.agg(F.count("*").alias("_total"))))
+    x = positions(df, order, out="_i").withColumn("_total", df.agg(F.count("*")).scalar())
     step = F.floor((F.col("_i") * n + F.col("_total") - 1) / F.col("_total"))
     first = (F.floor(step * F.col("_total") / n) == F.col("_i")) & (step < n)
     return x.filter(first | (F.col("_total") <= n)).drop("_i", "_total")

@@ -71,8 +71,8 @@ def inherited(spark: SparkSession, d: str) -> DataFrame:
 def province_choice(spark: SparkSession, d: str) -> DataFrame:
     """The island whose share of survey sites is nearest to a target; ties by name."""
     s = t(spark, d, "noaa_esd").select("island", "site_id").distinct().groupBy("island").agg(F.count("*").alias("n"))
-    x = s.crossJoin(F.broadcast(s.agg(F.sum("n").alias("total"))))
-    return x.agg(F.min_by("island", F.struct(F.abs(F.col("n") - 0.05 * F.col("total")), "island")).alias("island"))
+    x = s.withColumn("far", F.abs(F.col("n") - 0.05 * s.agg(F.sum("n")).scalar()))
+    return x.agg(F.min_by("island", F.struct("far", "island")).alias("island"))
 
 
 def hierarchy_closure(spark: SparkSession, d: str) -> DataFrame:

@@ -58,8 +58,8 @@ def bootstrap_accuracy(spark: SparkSession, d: str) -> DataFrame:
 def class_weights(spark: SparkSession, d: str) -> DataFrame:
     """Inverse-frequency weights of classes, mean 1."""
     n = t(spark, d, "embeddings").groupBy("label").agg(F.count("*").alias("n"))
-    w = n.crossJoin(F.broadcast(n.agg(F.sum("n").alias("total"), F.count("*").alias("k"), F.avg(1 / F.col("n")).alias("mean"))))
-    return w.select("label", "n", F.round(1 / F.col("n") / F.col("mean"), 6).alias("weight"))
+    mean = n.agg(F.avg(1 / F.col("n"))).scalar()
+    return n.select("label", "n", F.round(1 / F.col("n") / mean, 6).alias("weight"))
 
 
 def label_index(spark: SparkSession, d: str) -> DataFrame:

@@ -121,8 +121,8 @@ def top_similar(spark: SparkSession, d: str) -> DataFrame:
 def grid_search(spark: SparkSession, d: str) -> DataFrame:
     """The pair of thresholds with the best precision among those that keep a recall; ties to the smaller thresholds."""
     p = t(spark, d, "pairs").filter("confirmed is not null and d_phash is not null and d_dhash is not null")
-    a, b = (spark.range(4, 132, 16).select(F.col("id").cast("int").alias(n)) for n in ("tp", "td"))
-    j = p.crossJoin(F.broadcast(a)).crossJoin(F.broadcast(b))  # 64 fixed settings
+    steps = F.sequence(F.lit(4), F.lit(116), F.lit(16))  # 64 fixed settings
+    j = p.withColumn("tp", F.explode(steps)).withColumn("td", F.explode(steps))
     hit = (F.col("d_phash") <= F.col("tp")) & (F.col("d_dhash") <= F.col("td"))
     g = j.groupBy("tp", "td").agg(F.count_if(hit).alias("n"), F.count_if(hit & F.col("confirmed")).alias("k"), F.count_if("confirmed").alias("m"))
     g = g.select("tp", "td", F.round(F.col("k") / F.nullif("n", F.lit(0)), 6).alias("precision"), F.round(F.col("k") / F.nullif("m", F.lit(0)), 6).alias("recall"))

@@ -69,9 +69,9 @@ def generalised_positions(spark: SparkSession, d: str) -> DataFrame:
 def quality_flags(spark: SparkSession, d: str) -> DataFrame:
     """Texts far shorter than the corpus, or of odd make-up; the thresholds are percentiles over all documents."""
     docs = t(spark, d, "documents").filter("text is not null")
-    cut = docs.agg(F.percentile("n_chars", F.lit(0.01)).alias("low"), F.percentile("n_chars", F.lit(0.99)).alias("high"))
-    rules = {"short": F.col("n_chars") < F.col("low"), "long": F.col("n_chars") > F.col("high"), "blank": word(F.col("text")).isNull(), "digits": F.length(F.regexp_replace("text", "[^0-9]", "")) * 4 > F.col("n_chars")}
-    flagged = docs.crossJoin(F.broadcast(cut)).select("doc_id", C.violations(rules).alias("flags")).filter("size(flags) > 0")
+    cut = lambda q: docs.agg(F.percentile("n_chars", F.lit(q))).scalar()
+    rules = {"short": F.col("n_chars") < cut(0.01), "long": F.col("n_chars") > cut(0.99), "blank": word(F.col("text")).isNull(), "digits": F.length(F.regexp_replace("text", "[^0-9]", "")) * 4 > F.col("n_chars")}
+    flagged = docs.select("doc_id", C.violations(rules).alias("flags")).filter("size(flags) > 0")
     return flagged.select("doc_id", F.array_join("flags", ",").alias("flags"))
 
 
