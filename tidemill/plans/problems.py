@@ -45,8 +45,19 @@ walk as (select node, parent as spot from bad union select w.node, b.parent from
 ring as (select node from walk where node = spot),
 bad_root as (select w.node, min(w.spot) as root from walk w join ring r on w.spot = r.node group by 1)
 """
+POS = lambda t: f"lat between -90 and 90 and lon between -180 and 360 and not isnan(lat) and not isnan(lon) and not (lat = 0 and lon = 0)"
+FAR = lambda a, b: f"2 * 6371008.8 * asin(sqrt(least(1.0, pow(sin(radians({b}.lat - {a}.lat) / 2), 2) + cos(radians({a}.lat)) * cos(radians({b}.lat)) * pow(sin(radians({b}.lon - {a}.lon) / 2), 2))))"  # noqa: E731, E501
+NEAR = f"""with m as (select row_id, source_id, coalesce(location_generalized, false) as vague, lat, case when lon >= 180 then lon - 360 else lon end as lon from metadata where {POS('metadata')}),
+ s as (select distinct trim(site_id) as site_id, lat, case when lon >= 180 then lon - 360 else lon end as lon from noaa_esd where {POS('noaa_esd')} and trim(site_id) <> ''),
+ e as (select distinct feature_ord, ring, unnest(range(1, len(ring) + 1)) as i from meow where feature_ord is not null),
+ g as (select feature_ord, hash(ring) as r, ring[i::int].lon as ax, ring[i::int].lat as ay, ring[(i % len(ring) + 1)::int].lon as bx, ring[(i % len(ring) + 1)::int].lat as by from e),
+ x as (select m.row_id, g.feature_ord, g.r, count(*) as n from m join g on (g.ay > m.lat) <> (g.by > m.lat) and m.lon < g.ax + (m.lat - g.ay) * (g.bx - g.ax) / (g.by - g.ay) group by 1, 2, 3)
+ select distinct 'site' as kind, m.row_id, s.site_id as other from m join s on abs(m.lat - s.lat) < 0.01 and {FAR('m', 's')} <= 300 where not m.vague
+ union all select 'image', least(a.row_id, b.row_id), greatest(a.row_id, b.row_id)::varchar from m a join m b on a.row_id < b.row_id and a.source_id <> b.source_id and abs(a.lat - b.lat) < 0.001 and {FAR('a', 'b')} <= 20 where not a.vague and not b.vague
+ union all select 'region', row_id, min(feature_ord)::varchar from x where n % 2 = 1 group by 2"""
 QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_paths": p6_paths, "p6_descendants": p6_descendants}
 SQL = {
+    "p1_found": NEAR,
     "p6_found": f"with recursive {NODES}, {TREE}, {ROUND} select node as node_key, root as root_key, depth from t union all select node, root, -1 from bad_root",
     "p6_paths": f"with recursive {NODES}, {TREE}, {ROUND} select node as node_key, root as root_key, depth, path, ranks from t union all select node, root, -1, null, null from bad_root",
     "p6_descendants": f"""with recursive {NODES}, {TREE},
