@@ -120,6 +120,36 @@ QUERIES: dict[str, Query] = {
     "p10_found": p10_found,
     "p10_forms": p10_forms,
 }
+#: Quadratic or recursive twins for the oracle engine: brute force over all pairs, closure over all links.
+BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160) || chr(65279)"
+_word = lambda c: f"nullif(lower(trim({c}, {BLANK})), '')"
+_digest = lambda c: f"regexp_extract({_word(f'split_part({c}, chr(58), -1)')}, '^[0-9a-f]{{64}}$')"
+_bits = lambda a, b: " + ".join(f"bit_count(xor(('0x' || substr({a}, {i}, 8))::bigint, ('0x' || substr({b}, {i}, 8))::bigint))::int" for i in range(1, 65, 8))
+_PH = f"""ph as (select distinct nullif({_digest('sha256')}, '') as g, regexp_replace({_word('phash')}, '^0x', '') as c from phash where regexp_matches({_word('phash')}, '^(0x)?[0-9a-f]{{64}}$')),
+ codes as (select * from ph where g is not null and c not in (repeat('0', 64), repeat('f', 64)))"""
+_VEC = f"""v0 as (select nullif({_digest('key')}, '') as g, max(vec) as vec from emb where len(vec) = 64 and not list_bool_or(list_transform(vec, lambda x: x is null or isnan(x) or isinf(x))) and list_bool_or(list_transform(vec, lambda x: x <> 0)) group by 1),
+ vecs as (select g, list_transform(vec, lambda x: x::double) as v from v0 where g is not null), cosines as (select a.g as a, b.g as b, list_cosine_similarity(a.v, b.v) as c from vecs a join vecs b on a.g <> b.g)"""
+_META = f"md as (select *, nullif({_digest('image_sha256')}, '') as g, {_word('split')} as s, {_word('bytes_config')} as cfg from metadata)"
+_SITE = r"(?:^|[^a-z0-9])([a-z]{3})[^a-z0-9]*([a-z]?)[^a-z0-9]*(\d{3,4})[^a-z0-9]+(\d{4})[^a-z0-9]?(\d{2})[^a-z0-9]?(\d{2})(?:[^a-z0-9]+(?:frame|f)?[^a-z0-9]*|(?:frame|f)[^a-z0-9]*)(\d+)"
+_CLOSE = "r as (select a as v, a as u from links2 union select r.v, links2.b from r join links2 on r.u = links2.a), root as (select v, min(u) as root from r group by 1)"
 SQL: dict[str, str] = {
+    "p2_found": f"""with {_PH}, {_VEC}, {_META}, side as (select g, bool_or(s in ('train', 'training')) as t, bool_or(s in ('val', 'validation', 'test', 'test_ood')) as e from md where g is not null and s is not null group by 1),
+ near as (select a.g as a, b.g as b from codes a join codes b on a.g < b.g and {_bits('a.c', 'b.c')} <= 24 union select a, b from cosines where a < b and c >= 0.95)
+ select a as sha_a, b as sha_b from near join side x on x.g = a join side y on y.g = b where (x.t and y.e) or (x.e and y.t) union all select g, g from side where t and e""",
+    "p3_found": f"""with recursive rec as (select nullif({_digest('sha256')}, '') as g from phash union select nullif({_digest('sha256')}, '') from dhash),
+ dh as (select distinct nullif({_digest('sha256')}, '') as g, lpad(regexp_replace({_word('dhash')}, '^0x', ''), 16, '0') as c from dhash where regexp_matches({_word('dhash')}, '^(0x)?[0-9a-f]{{1,16}}$')),
+ star as (select g as a, min(g) over (partition by c) as b from dh where g is not null and c not in (repeat('0', 16), repeat('f', 16))),
+ links as (select a, b from star where a <> b union select x, y from (select nullif({_digest('sha_a')}, '') as x, nullif({_digest('sha_b')}, '') as y from pairs where confirmed) where x <> y and x in (select g from rec where g is not null) and y in (select g from rec where g is not null)),
+ links2 as (select a, b from links union select b, a from links), {_CLOSE} select v as sha256, root as group_id from root""",
+    "p4_found": f"""with recursive st as (select staged_id, case when {_word('upstream_split')} in ('train', 'training') then 'train' when {_word('upstream_split')} in ('val', 'valid', 'validation', 'dev') then 'val' when {_word('upstream_split')} in ('test', 'testing') then 'test' end as s,
+  case when regexp_matches({_word('split_group')}, '[a-z0-9]') and {_word('split_group')} not in ('none', 'null', 'nan', 'na', 'n/a', 'unknown') then 'g:' || {_word('split_group')} end as gk, regexp_extract(lower(stem), '{_SITE}', ['a', 'b', 'c', 'y', 'm', 'd', 'n']) as p from staged_images),
+ rows as (select staged_id, s, gk, case when p.n <> '' and p.m between '01' and '12' and p.d between '01' and '31' then 'f:' || p.a || p.b || p.c || '|' || p.y || p.m || p.d || '|' || ltrim(p.n, '0') end as fk from st),
+ links2 as (select gk as a, fk as b from rows where gk is not null and fk is not null union select fk, gk from rows where gk is not null and fk is not null), {_CLOSE},
+ b as (select staged_id, s, coalesce(root, gk, fk, staged_id::varchar) as bundle from rows left join root on root.v = coalesce(gk, fk))
+ select staged_id from b where bundle in (select bundle from b group by 1 having count(distinct s) > 1)""",
+    "p5_found": f"with {_VEC}, top as (select a, b, c from cosines qualify row_number() over (partition by a order by c desc, b) <= 5) select distinct least(a, b) as key_a, greatest(a, b) as key_b from top where c >= 0.85",
+    "p7_found": f"""with {_PH}, {_META}, d as (select row_id, batch, g, coalesce(cfg <> 'withheld', false) as ok from md where g is not null and batch is not null),
+ near as (select a.g as a, b.g as b from codes a join codes b on a.g <> b.g and {_bits('a.c', 'b.c')} <= 24 union select g, g from d)
+ select distinct least(x.row_id, y.row_id) as row_a, greatest(x.row_id, y.row_id) as row_b from near join d x on x.g = near.a join d y on y.g = near.b where x.batch < y.batch and x.ok""",
     "p8_decoded": "select doc_id, coalesce(text, '') as text from documents",
 }
