@@ -13,21 +13,21 @@ from pyspark.sql import functions as F
 
 # Letters whose whole glyph is drawn like a Latin letter (left), by script.
 ALIKE = {
-    "a": "а", "c": "сϲ", "d": "ԁ", "e": "е", "g": "ɡ", "h": "һ", "i": "і", "j": "јϳ", "k": "", "l": "ӏ", "o": "оο", "p": "рρ", "q": "ԛ",
+    "a": "а", "c": "сϲ", "d": "ԁ", "e": "е", "g": "ɡ", "h": "һ", "i": "і", "j": "јϳ", "l": "ӏ", "o": "оο", "p": "рρ", "q": "ԛ",
     "s": "ѕ", "v": "νѵ", "w": "ԝ", "x": "х", "y": "у",
     "A": "АΑ", "B": "ВΒ", "C": "СϹ", "E": "ЕΕ", "F": "Ϝ", "G": "Ԍ", "H": "НΗ", "I": "ІΙӀ", "J": "ЈͿ", "K": "КΚ", "M": "МΜϺ", "N": "Ν", "O": "ОΟ", "P": "РΡ",
     "Q": "Ԛ", "S": "Ѕ", "T": "ТΤ", "V": "Ѵ", "W": "Ԝ", "X": "ХΧ", "Y": "ҮΥ", "Z": "Ζ",
 }
 # Further glyphs shared by Greek and Cyrillic.
-ALIKE |= {"Γ": "Г", "Π": "П", "Φ": "Ф", "Λ": "Ʌ", "κ": "ĸк", "μ": "µ", "ϕ": "", "Ω": "Ω"}
+ALIKE |= {"Γ": "Г", "Π": "П", "Φ": "Ф", "Λ": "Ʌ", "κ": "ĸк", "μ": "µ", "Ω": "Ω"}
 # Hyphens, joined letters.
-HYPHENS = "‐‑－﹣"
+HYPHENS = "\u2010\u2011\ufe63\uff0d"
 JOINED = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "ſt", "ﬆ": "st", "Ĳ": "IJ", "ĳ": "ij", "Ǉ": "LJ", "ǈ": "Lj", "ǉ": "lj", "Ǌ": "NJ", "ǋ": "Nj", "ǌ": "nj", "Ǳ": "DZ", "ǲ": "Dz", "ǳ": "dz"}
 # Ranges of characters that draw nothing (default ignorable code points, and controls without effect on lines).
-NOTHING = "\x00-\x08\x0e-\x1f\x7f-\x84\x86-\x9f­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ\U000e0000-\U000e0fff"
+NOTHING = "\x00-\x08\x0e-\x1f\x7f-\x84\x86-\x9f\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0\U000e0000-\U000e0fff"
 CONTROL = re.compile("[\x00-\x08\x0e-\x1f\x7f]")
 # Blanks drawn as one space.
-SPACES = "  -   　"
+SPACES = "\u00a0\u2000-\u200a\u202f\u205f\u3000"
 
 
 @cache
