@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemill.operators import columns as C
 from tidemill.operators import measure as M
 from tidemill.plans.relations import D64, images
-from tidemill.plans.scalars import SPLIT, t
+from tidemill.plans.scalars import SPLIT, TOKENS, t
 
 
 def raters(spark: SparkSession, d: str) -> DataFrame:
@@ -116,5 +116,6 @@ SQL = {
     "class_weights": "with n as (select label, count(*) as n from embeddings group by 1) select label, n, round(1.0 / n / (select avg(1.0 / n) from n), 6) as weight from n",
     "label_index": "with n as (select nullif(lower(trim(rank)), '') as rank, count(*) as n from taxonomy group by 1), e as (select rank, (row_number() over (order by rank) - 1)::int as i from n where rank is not null and n >= 50) select n.rank, n, coalesce(i, -100) as \"index\" from n left join e using (rank) where n.rank is not null",
     "noise_joint": f"with {SCO}, c as (select guess, avg(score) as cut from s group by 1) select label, guess, count(*) as n from s join c using (guess) where score >= cut group by 1, 2",
+    "qa_accuracy": f"with b as (select bench, coalesce(array_to_string({TOKENS}, ' '), '') as a from bench_items), n as (select bench, a, count(*) as n from b group by 1, 2) select bench, sum(n)::bigint as items, coalesce(sum(n) filter (n > 1), 0)::bigint as matched from n group by 1",
     "stratified_rate": "with a as (select source_id, count(*) filter (site_id is not null) as k0, count(lat) as n, count(*) as p, 1.959963984540054 as z from metadata group by 1), b as (select *, least(k0, n) as k from a where n > 0), w as (select p, k / n as r, greatest(0, (k/n + z*z/(2*n) - z*sqrt((k/n)*(1-k/n)/n + z*z/(4*n*n))) / (1 + z*z/n)) as low, least(1, (k/n + z*z/(2*n) + z*sqrt((k/n)*(1-k/n)/n + z*z/(4*n*n))) / (1 + z*z/n)) as high from b) select round(sum(r * p), 3) as estimate, round(sum(low * p), 3) as low, round(sum(high * p), 3) as high from w",
 }
