@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.operators.sample import running
+
 
 def confusion(df: DataFrame, truth: str, guess: str) -> DataFrame:
     return df.groupBy(F.col(truth).alias("truth"), F.col(guess).alias("guess")).agg(F.count("*").alias("n"))
@@ -43,8 +45,9 @@ def recall_threshold(df: DataFrame, score: str, positive: str, recall: float) ->
     """(threshold, recall, precision): the highest score at which recall is reached. Ties of score are one step; counts per
     distinct score are summed in order."""
     by = df.groupBy(score).agg(F.count("*").alias("n"), F.sum(F.col(positive).cast("bigint")).alias("k"))
-    w = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    run = by.select(score, F.sum("n").over(w).alias("n"), F.sum("k").over(w).alias("k")).withColumn("all", by.agg(F.sum("k")).scalar())
+    by = by.withColumn("_down", -F.col(score))
+    run = running(by, ["_down"], {"n0": F.col("n"), "k0": F.col("k")})
+    run = run.select(score, (F.col("n0") + F.col("n")).alias("n"), (F.col("k0") + F.col("k")).alias("k")).withColumn("all", by.agg(F.sum("k")).scalar())
     ok = run.filter(F.col("k") >= recall * F.col("all"))
     best = ok.agg(F.max(score).alias("threshold"), F.max_by("k", score).alias("k"), F.max_by("n", score).alias("n"), F.max("all").alias("all"))
     return best.select("threshold", F.round(F.col("k") / F.col("all"), 6).alias("recall"), F.round(F.col("k") / F.col("n"), 6).alias("precision"))

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.session import Scratch
+
 
 def draw(*parts: Column | str, seed: str = "0") -> Column:
     """A hash that orders rows at random: sha-256 of seed and keys."""
@@ -34,15 +36,25 @@ def lowest(df: DataFrame, group: list[str], key: str, cap: int, seed: str = "0",
     return first_rows(df.withColumn("_d", draw(key, seed=seed)), group, [F.col("_d"), F.col(key)], cap, F.col(key), buckets).drop("_d")
 
 
+def running(df: DataFrame, order: list[str], totals: dict[str, Column]) -> DataFrame:
+    """Adds totals over all rows before each one in the total order of the columns, without one task for it: what stands
+    before it in its sorted partition, plus what the partitions before hold (a row per partition).
+
+    The sorted rows are written first, as both are read from the same partitions.
+    """
+    x = df.select("*", *(c.alias(f"_v_{k}") for k, c in totals.items()))
+    x = x.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    x = Scratch(df.sparkSession, "running").keep(x).withColumn("_p", F.call_function("shiftright", "_at", F.lit(33)))
+    here, parts = Window.partitionBy("_p").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1), Window.orderBy("_p")
+    sums = x.groupBy("_p").agg(*(F.sum(f"_v_{k}").alias(f"_s_{k}") for k in totals))
+    sums = sums.select("_p", *((F.sum(f"_s_{k}").over(parts) - F.col(f"_s_{k}")).alias(f"_b_{k}") for k in totals))
+    x = x.select("*", *(F.coalesce(F.sum(f"_v_{k}").over(here), F.lit(0)).alias(f"_h_{k}") for k in totals)).join(F.broadcast(sums), "_p")
+    return x.select(*df.columns, *((F.col(f"_b_{k}") + F.col(f"_h_{k}")).alias(k) for k in totals))
+
+
 def positions(df: DataFrame, *order: str, out: str = "i") -> DataFrame:
-    """Adds the 0-based position in the total order of the columns, without one task: place in the sorted partition plus
-    the sizes of the partitions before it."""
-    x = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
-    part = F.call_function("shiftright", "_at", F.lit(33))
-    counts = x.groupBy(part.alias("_p")).agg(F.count("*").alias("_n"))
-    before = counts.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_before"))  # a row per partition
-    x = x.withColumn("_p", part).join(F.broadcast(before), "_p")
-    return x.withColumn(out, F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("_at", "_p", "_before")
+    """Adds the 0-based position in the total order of the columns."""
+    return running(df, list(order), {out: F.lit(1).cast("bigint")})
 
 
 def stride(df: DataFrame, order: str, n: int) -> DataFrame:
@@ -69,8 +81,8 @@ def stratified(df: DataFrame, stratum: str, key: str, n: int, seed: str = "0") -
 def whole_groups(df: DataFrame, group: str, cap: int, seed: str = "0") -> DataFrame:
     """Whole groups in random order until their sizes reach ``cap``; the last may overshoot."""
     sizes = df.groupBy(group).agg(F.count("*").alias("n")).withColumn("d", draw(group, seed=seed))
-    run = F.sum("n").over(Window.orderBy("d", group).rowsBetween(Window.unboundedPreceding, -1))  # a row per group
-    return df.join(sizes.withColumn("before", F.coalesce(run, F.lit(0))).filter(F.col("before") < cap).select(group), group, "left_semi")
+    first = running(sizes, ["d", group], {"before": F.col("n")}).filter(F.col("before") < cap)
+    return df.join(first.select(group), group, "left_semi")
 
 
 def packed(df: DataFrame, lane: str, order: str, size: str, target: int) -> DataFrame:
