@@ -82,3 +82,14 @@ def test_sinks(spark, tmp_path):
     tars = S.tar_shards(spark.createDataFrame([(1, "a", None), (2, None, "x"), (None, "b", "y")], "k bigint, body string, extra string"), "k", "body", "txt", 2)
     assert {(r.name, bytes(r.content)) for r in S.read_tars(spark, tars).collect()} == {("1.txt", b"a"), ("1.json", b'{"extra": null}'), ("2.txt", b""), ("2.json", b'{"extra": "x"}')}
     assert [r[0] for r in spark.sql("select array(2, 3, 0, 1) r").select(A.run_length(F.col("r"))).collect()] == [[0, 0, 1, 1, 1, 1]]
+
+
+def test_versions(spark, tmp_path):
+    from tidemill.sources import tables as V
+
+    schema = "id bigint, site string, depth float"
+    spark.createDataFrame([(1, "a")], "id int, site string").write.parquet(str(tmp_path / "v1"))
+    spark.createDataFrame([(2, "b", "3.5", True), (None, None, "x", None)], "id bigint, site string, depth string, extra boolean").write.parquet(str(tmp_path / "v2"))
+    got = V.load_versions(spark, [str(tmp_path / "v1"), str(tmp_path / "v2")], schema)
+    assert {tuple(r) for r in got.collect()} == {(1, "a", None), (2, "b", 3.5), (None, None, None)} and V.schema_faults(got, schema) == []
+    assert V.schema_faults(spark.read.parquet(str(tmp_path / "v2")), "id bigint, depth float, lost int") == ["missing lost", "depth is string, not float", "unknown site", "unknown extra"]
