@@ -180,10 +180,9 @@ def matching(segments: DataFrame, layout: Layout, n: int, group_rows: int = GROU
     else:
         spread = spread.withColumns({"piece": F.lit(0), "cell": F.lit("")})
 
-    def join(table: pa.Table) -> pa.Table:
-        found = [np.stack(x, 1) for x in _join_group(table, layout, h)]
-        both = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
-        return pa.table({"a": both[:, 0], "b": both[:, 1]})
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for a, b in _join_group(pa.Table.from_batches(list(batches)), layout, h):  # pairs leave chunk by chunk
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     found = spread.groupBy("seg", "prefix", "cell").applyInArrow(join, "a bigint, b bigint")
     return found.distinct()
