@@ -69,6 +69,27 @@ def test_leaks(spark):
     assert leaks.leaks(spark, d.limit(0), i).count() == 0 and leaks.leaks(spark, d, i.limit(0)).count() == 0
 
 
+def test_near_finds_edited_copies_of_common_passages(spark):
+    rng = random.Random(3)
+    every_third = [v for k, v in enumerate(WORDS, 1) for v in ([v, f"x{k}"] if k % 3 == 0 else [v])]  # no four words in a row are left
+    docs = [(k, " ".join(every_third)) for k in range(40)] + [(k, " ".join(rng.choices(WORDS, k=rng.randrange(1, 60)))) for k in range(40, 120)]
+    docs += [(200, None), (201, ""), (None, " ".join(WORDS)), (202, " ".join(rng.choices(WORDS[:3], k=3000)) + " " + " ".join(WORDS[:10]))]
+    items = [(1, " ".join(WORDS)), (2, "is it pale near coral"), (3, None), (4, "?!"), (None, "x y"), (5, " ".join(WORDS[5:17]))]
+    d, i = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {tuple(r) for r in leaks.edited(leaks.near(spark, d, i)).collect()}
+    want = set()
+    for k, t in docs:
+        for n, x in items:
+            own = leaks.words(x)
+            if k is not None and n is not None and own:
+                run, score = leaks.align(own, leaks.words(t))
+                if score >= 0.8 * leaks.MATCH * min(leaks.PASSAGE, len(own)):
+                    want.add((k, n, run, score))
+    assert got == want and {(k, 1) for k in range(40)} <= {r[:2] for r in got}
+    assert not {(k, 1) for k in range(40)} & {(r.doc_id, r.item_id) for r in leaks.edited(leaks.leaks(spark, d, i, rare=0.001)).collect()}
+    assert leaks.near(spark, d.limit(0), i).count() == 0 and leaks.near(spark, d, i.limit(0)).count() == 0
+
+
 def test_leaks_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(leaks, "BROADCAST_GRAMS", 2)
     d = spark.createDataFrame([(1, " ".join(WORDS)), (2, "no")], "doc_id bigint, text string")

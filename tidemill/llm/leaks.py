@@ -5,6 +5,9 @@ whole item if it has fewer) the rarest of its n-grams is its seed, by the number
 all documents; a document that holds the passage holds the seed, so no leak is missed, and boilerplate that stands in a
 third of all documents seeds nothing. Documents and items that share a seed are aligned word by word (Smith and Waterman),
 which scores edited copies, and the longest run of equal words decides whether a passage is held as it is.
+
+``near`` reports edited copies without seeds: every document is held against every item, those pairs that share too few words
+to reach the bound are left out, and the others are aligned many at a time.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ from tidemill.session import Scratch
 PASSAGE, GRAM = 12, 5
 #: Item n-grams are broadcast, to drop the documents' other n-grams early, up to this many (8 bytes each).
 BROADCAST_GRAMS = 1 << 20
+#: Documents compared with all items at once; cells of a diagonal, and document words, of a block of pairs.
+NEAR_DOCS, NEAR_CELLS, NEAR_WORDS = 512, 1 << 15, 1 << 19
 #: Scores of the alignment.
 MATCH, MISMATCH, GAP = 2, -1, -1
 
@@ -86,6 +91,53 @@ def align(item: list[str], doc: list[str]) -> tuple[int, int]:
     return longest, best
 
 
+def _table(texts: list[np.ndarray], none: int, back: bool = False) -> np.ndarray:
+    """Word numbers of texts as rows of one width; ``none`` fills up. ``back``: each from its end, the filling before it."""
+    out = np.full((len(texts), max(map(len, texts), default=0)), none, np.int32)
+    for row, x in zip(out, texts, strict=True):
+        row[len(row) - len(x) if back else 0 : len(row) if back else len(x)] = x[::-1] if back else x
+    return out
+
+
+def align_many(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``align`` of many pairs of word numbers at once, by anti-diagonals. a: (word of the item, pair), filled up behind;
+    b: (word of the document from its end, pair), filled up before, so that a diagonal is a slice of both. What fills up, and
+    words that no item has, are negative and differ on both sides."""
+    m, n, pairs = len(a), len(b), a.shape[1]
+    kind = np.int16 if MATCH * m < 1 << 15 else np.int32
+    before, last, new = (np.zeros((m + 1, pairs), kind) for _ in range(3))  # scores of three diagonals, by position in the item
+    run0, run1, run2 = (np.zeros((m + 1, pairs), kind) for _ in range(3))
+    most, longest = np.zeros((m + 1, pairs), kind), np.zeros((m + 1, pairs), kind)
+    same, cell, gap = np.empty((m, pairs), bool), np.empty((m, pairs), kind), np.empty((m, pairs), kind)
+    for d in range(2, m + n + 1):
+        lo, hi = max(1, d - n), min(m, d - 1)
+        own, prior, k = slice(lo, hi + 1), slice(lo - 1, hi), hi - lo + 1
+        s, c, g = same[:k], cell[:k], gap[:k]
+        np.equal(a[prior], b[n - d + lo : n - d + hi + 1], out=s)
+        np.copyto(c, s)
+        np.add(run0[prior], kind(1), out=run2[own])
+        run2[own] *= c
+        np.maximum(longest[own], run2[own], out=longest[own])
+        c *= kind(MATCH - MISMATCH)
+        c += before[prior]
+        c += kind(MISMATCH)
+        np.maximum(last[own], last[prior], out=g)
+        g += kind(GAP)
+        np.maximum(c, g, out=c)
+        np.maximum(c, kind(0), out=new[own])
+        np.maximum(most[own], new[own], out=most[own])
+        before, last, new = last, new, before
+        run0, run1, run2 = run1, run2, run0
+    return longest.max(0), most.max(0)
+
+
+def _reach(held: np.ndarray) -> np.ndarray:
+    """The most that any run of words of each row can score, if those held are all matched and the others are edits."""
+    total = np.zeros((len(held), held.shape[1] + 1), np.int32)
+    np.cumsum(np.where(held, np.int32(MATCH), np.int32(max(MISMATCH, GAP))), 1, out=total[:, 1:])
+    return (total - np.minimum.accumulate(total, 1)).max(1)
+
+
 def _of(df: DataFrame, key: str, known: np.ndarray | None, sizes: list[int], spark: SparkSession) -> DataFrame:
     """(key, gram) of all n-grams of the given sizes, only those in ``known`` if it is given; each once per text and batch."""
     shared = None if known is None else spark.sparkContext.broadcast(known)
@@ -178,6 +230,85 @@ def leaks(spark: SparkSession, documents: DataFrame, items: DataFrame, rare: flo
     return met.select("doc_id", "item_id", "doc", "item").mapInArrow(score, "doc_id bigint, item_id bigint, run int, score int, words int")
 
 
+def near(spark: SparkSession, documents: DataFrame, items: DataFrame, least: float = 0.8) -> DataFrame:
+    """(doc_id, item_id, run, score, words) of every document and item whose alignment score is at least ``least`` of a
+    passage's, however common their words are.
+
+    A score of s needs s / MATCH words that both texts hold, counted as often as both hold them, and a run of words in either
+    text of which the other holds enough; pairs without are not aligned, and no other pair is left out. Items are broadcast. Null, empty and wordless texts and null ids match nothing.
+    """
+    rows = [(r.item_id, words(r.text)) for r in items.select("item_id", "text").filter("item_id is not null").toLocalIterator()]
+    shared = spark.sparkContext.broadcast([r for r in rows if r[1]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, vocabulary, places = shared.value, {}, {}
+        item_words = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in own], np.int32) for _, own in known]
+
+        def repeats(own: list[int]) -> list[tuple[int, int]]:
+            """Words with how often they came before: texts share as many of these as words."""
+            seen: dict[int, int] = {}
+            out = []
+            for w in own:
+                seen[w] = seen.get(w, -1) + 1
+                out.append((w, seen[w]))
+            return out
+
+        held = [[places.setdefault(x, len(places)) for x in repeats(own.tolist())] for own in item_words]
+        holds = np.zeros((len(places), len(known)), np.float32)
+        for i, h in enumerate(held):
+            holds[h, i] = 1
+        size = np.array([len(own) for own in item_words], np.int32)
+        bound = least * MATCH * np.minimum(PASSAGE, size)
+        narrow = np.int16 if len(vocabulary) < 1 << 15 else np.int32
+        item_table = _table(item_words, -1).astype(narrow)
+        has_word = np.zeros((len(known), len(vocabulary) + 2), bool)  # two columns for what no item has
+        for i, own in enumerate(item_words):
+            has_word[i, own] = True
+        for batch in batches:
+            for at in range(0, len(batch) if known else 0, NEAR_DOCS):
+                part = batch.slice(at, NEAR_DOCS)
+                docs = [np.array([vocabulary.get(w, -2) for w in words(t)], np.int32) for t in part.column("text").to_pylist()]
+                length = np.array([len(own) for own in docs], np.int32)
+                by = np.argsort(length, kind="stable")
+                ids, docs, length = part.column("doc_id").to_numpy(zero_copy_only=False)[by], [docs[k] for k in by], length[by]
+                has = np.zeros((len(docs), len(places)), np.float32)
+                for k, own in enumerate(docs):
+                    has[k, [places[x] for x in repeats(own[own >= 0].tolist()) if x in places]] = 1
+                doc, item = np.nonzero(MATCH * (has @ holds) >= bound)
+                left, start = [], 0
+                while start < len(doc):
+                    few = start + max(1, min(4096, NEAR_WORDS // max(1, int(length[doc[min(start + 4095, len(doc) - 1)]]))))
+                    x, y = doc[start:few], item[start:few]
+                    first = x[0]
+                    table = _table(docs[first : x[-1] + 1], -2)[x - first]
+                    ok = _reach(has_word[y[:, None], table]) >= bound[y]
+                    in_doc = np.zeros((x[-1] + 1 - first, len(vocabulary) + 2), bool)
+                    for k in range(first, x[-1] + 1):
+                        in_doc[k - first, docs[k][docs[k] >= 0]] = True
+                    x, y, start = x[ok], y[ok], few
+                    ok = _reach(in_doc[(x - first)[:, None], item_table[y]]) >= bound[y]
+                    left.append((x[ok], y[ok]))
+                doc, item = (np.concatenate(c) for c in zip(*left, strict=True)) if left else (doc, item)
+                order = np.lexsort((length[doc], size[item] // 16))  # alike in both lengths, so that little is filled up
+                doc, item, start = doc[order], item[order], 0
+                while start < len(doc):
+                    end = start + NEAR_CELLS // int(size.max()) + 1
+                    x, y = doc[start:end], item[start:end]
+                    few = max(1, NEAR_WORDS // int(length[x].max()))
+                    x, y = x[:few], y[:few]
+                    one, spot = np.unique(x, return_inverse=True)
+                    b = _table([docs[k] for k in one], -2, back=True).astype(narrow)[spot].T
+                    longest, best = align_many(np.ascontiguousarray(item_table[y, : size[y].max()].T), np.ascontiguousarray(b))
+                    ok = best >= bound[y]
+                    start += len(x)
+                    if ok.any():
+                        x, y = x[ok], y[ok]
+                        columns = [pa.array(ids[x]), pa.array([known[i][0] for i in y], pa.int64()), pa.array(longest[ok], pa.int32()), pa.array(best[ok], pa.int32()), pa.array(size[y])]
+                        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "run", "score", "words"])
+
+    return documents.select("doc_id", "text").filter("doc_id is not null and text is not null").mapInArrow(run, "doc_id bigint, item_id bigint, run int, score int, words int")
+
+
 def exact(found: DataFrame) -> DataFrame:
     """(doc_id, item_id) of which the document holds a whole passage."""
     return found.filter(F.col("run") >= F.least(F.lit(PASSAGE), "words")).select("doc_id", "item_id").distinct()

@@ -98,9 +98,9 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_edited(spark: SparkSession, d: str) -> DataFrame:
-    from tidemill.llm.leaks import edited, leaks
+    from tidemill.llm.leaks import edited, near
 
-    return edited(leaks(spark, *read(spark, d, "documents", "bench_items"), rare=0.001))
+    return edited(near(spark, *read(spark, d, "documents", "bench_items")))
 
 
 QUERIES: dict[str, Query] = {
