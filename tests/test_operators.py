@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -245,3 +246,16 @@ def test_map_grows_and_never_moves(spark, tmp_path):
 def test_haversine(spark):
     d = one(spark, geo.haversine(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(180.0)))
     assert abs(d - math.pi * 6371008.8) < 1e-3
+
+
+@pytest.mark.parametrize("radius", [0, 1, 4, 8])
+def test_near_items_beyond_three_bits(spark, radius):
+    rng = random.Random(radius)
+    codes = [rng.getrandbits(64) for _ in range(12)] + [0x8000000000000001, (1 << 64) - 1]
+    for base in codes[:12]:
+        codes += [base ^ sum(1 << k for k in rng.sample(range(64), n)) for n in range(10)]
+    rows = [(f"d{i:03d}", f"{c:016x}") for i, c in enumerate(codes)]
+    want = {(a, b, (int(x, 16) ^ int(y, 16)).bit_count()) for a, x in rows for b, y in rows if a < b and (int(x, 16) ^ int(y, 16)).bit_count() <= radius}
+    df = spark.createDataFrame([*rows, (None, "0" * 16), ("e", None)], "digest string, code string")
+    got = [tuple(r) for r in R.near_items(df, "digest", "code", radius).collect()]
+    assert set(got) == want and len(got) == len(want) and (radius < 4 or max(w[2] for w in want) == radius)

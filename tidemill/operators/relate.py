@@ -106,6 +106,43 @@ def hamming_pairs(rows: DataFrame, item: str, bits: str, radius: int, digits: in
     return met.select(F.least("x", "y").alias("sha_a"), F.greatest("x", "y").alias("sha_b"), "distance").distinct()
 
 
+def near_codes(left: DataFrame, radius: int, right: DataFrame | None = None) -> DataFrame:
+    """(ca, cb, distance) of 64-bit hex codes at most ``radius`` bits apart, each pair once: within left (ca < cb), or of left
+    and right, equal codes too. left, right: code.
+
+    A code is cut into radius // 2 + 1 segments, of which one differs in at most one bit in every such pair; codes of one side
+    probe each segment as it is and with each bit flipped. No pair is lost.
+    """
+    m = radius // 2 + 1
+    sizes = [64 // m + (i < 64 % m) for i in range(m)]
+    half = lambda at: F.conv(F.substring("code", at, 8), 16, 10).cast("bigint")
+    as_bits = lambda df: df.select("code").dropna().distinct().select("code", F.shiftleft(half(1), 32).bitwiseOR(half(9)).alias("v"))
+    homes, probes = [], []
+    for i, n in enumerate(sizes):
+        own = F.shiftrightunsigned(F.col("v"), sum(sizes[:i])).bitwiseAND(F.lit((1 << n) - 1)) if n < 64 else F.col("v")
+        homes.append(F.struct(F.lit(i).alias("seg"), own.alias("key")))
+        flips = [0] + [1 << k for k in range(n)]
+        flips = [x - (1 << 64) if x >= 1 << 63 else x for x in flips]
+        probes.append(F.array(*(F.struct(F.lit(i).alias("seg"), own.bitwiseXOR(F.lit(x).cast("bigint")).alias("key")) for x in flips)))
+    a = as_bits(left).select(F.col("code").alias("ca"), F.col("v").alias("va"), F.explode(F.flatten(F.array(*probes))).alias("s")).select("ca", "va", "s.*")
+    b = as_bits(left if right is None else right).select(F.col("code").alias("cb"), F.col("v").alias("vb"), F.explode(F.array(*homes)).alias("s")).select("cb", "vb", "s.*")
+    distance = F.bit_count(F.col("va").bitwiseXOR(F.col("vb")))
+    met = a.join(b, ["seg", "key"]).filter(distance <= radius)
+    if right is None:
+        met = met.filter("ca < cb")
+    return met.select("ca", "cb", distance.cast("int").alias("distance")).distinct()
+
+
+def near_items(rows: DataFrame, item: str, bits: str, radius: int) -> DataFrame:
+    """(sha_a, sha_b, distance) of all pairs of items with codes at most ``radius`` bits apart, by ``near_codes``; the least
+    distance of items with several codes."""
+    rows = rows.select(F.col(item).alias("x"), F.col(bits).alias("code")).dropna().distinct()
+    many = rows.groupBy("code").count().filter("count > 1").select(F.col("code").alias("ca"), F.col("code").alias("cb"), F.lit(0).alias("distance"))
+    pairs = near_codes(rows.select("code"), radius).union(many)
+    met = pairs.join(rows.withColumnRenamed("code", "ca"), "ca").join(rows.select(F.col("code").alias("cb"), F.col("x").alias("y")), "cb").filter("x <> y")
+    return met.groupBy(F.least("x", "y").alias("sha_a"), F.greatest("x", "y").alias("sha_b")).agg(F.min("distance").alias("distance"))
+
+
 def difference(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
     """(key, change): added, removed, changed or kept; null values are equal to each other."""
     j = old.alias("o").join(new.alias("n"), F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer")

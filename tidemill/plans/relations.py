@@ -15,6 +15,10 @@ DCODE = "lpad(regexp_replace(lower(trim(dhash, ' ' || chr(9) || chr(10) || chr(1
 DH = f"dh as (select distinct {D64('sha256')} as digest, {DCODE} as code from dhash where regexp_matches(lower(trim(dhash, ' ' || chr(9) || chr(10) || chr(13))), '^(0x)?[0-9a-f]{{1,16}}$') and {DCODE} not in (repeat('0', 16), repeat('f', 16)))"
 
 
+#: Bits within which two codes make one component; bits of the gate and of the band between batches.
+UNION_BITS, BAND_BITS = 4, 8
+
+
 def images(spark: SparkSession, d: str) -> DataFrame:
     return t(spark, d, "metadata").withColumn("digest", digest(F.col("image_sha256")))
 
@@ -128,6 +132,31 @@ def distance_band(spark: SparkSession, d: str) -> DataFrame:
     return R.hamming_pairs(codes(spark, d), "digest", "code", 3).filter("distance > 1").select("sha_a", "sha_b", "distance")
 
 
+def union_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Images of which the codes make one component."""
+    return R.near_items(codes(spark, d), "digest", "code", UNION_BITS)
+
+
+def gate_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Images that the gate holds for near copies."""
+    return R.near_items(codes(spark, d), "digest", "code", BAND_BITS)
+
+
+def prior_band(spark: SparkSession, d: str) -> DataFrame:
+    """Images of a later first batch beside images of an earlier one, beyond one component but inside the band."""
+    first = images(spark, d).filter("digest is not null and batch is not null").groupBy("digest").agg(F.min("batch").alias("batch"))
+    p = gate_pairs(spark, d).filter(F.col("distance") > UNION_BITS)
+    p = p.join(first.selectExpr("digest as sha_a", "batch as batch_a"), "sha_a").join(first.selectExpr("digest as sha_b", "batch as batch_b"), "sha_b").filter("batch_a <> batch_b")
+    later = F.col("batch_a") > F.col("batch_b")
+    return p.select(F.when(later, F.col("sha_a")).otherwise(F.col("sha_b")).alias("new"), F.when(later, F.col("sha_b")).otherwise(F.col("sha_a")).alias("prior"), "distance")
+
+
+def nearest_in_band(spark: SparkSession, d: str) -> DataFrame:
+    """For each image of a later batch the nearest earlier one in the band; ties by digest."""
+    best = prior_band(spark, d).groupBy("new").agg(F.min(F.struct("distance", "prior")).alias("m"))
+    return best.select("new", "m.prior", "m.distance")
+
+
 def channel_union(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of all channels with a bit for each that proposed them, in either order once."""
     p = t(spark, d, "pairs").select(digest(F.col("sha_a")).alias("x"), digest(F.col("sha_b")).alias("y"), word(F.col("channels")).alias("c")).filter("x is not null and y is not null and x <> y")
@@ -199,7 +228,7 @@ def table_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     return R.fingerprint(t(spark, d, "nation").union(t(spark, d, "nation").limit(0)), ["n_nationkey", "n_name", "n_regionkey"])
 
 
-QUERIES = {f.__name__: f for f in (corpus_counters, class_histogram, field_coverage, point_rollup, fact_rollup, group_counts, strata_shares, group_straddle, overlap_matrix, agreement_pairs, label_conflicts, label_status, join_coverage, digest_join, crosswalk_join, exact_dups, identical_codes, hamming_pairs, distance_band, channel_union, digest_sets, schema_union, manifest_diff, alias_collapse, per_config_counts, manifest_coverage, vocabulary_coverage, node_reach, table_fingerprint)}
+QUERIES = {f.__name__: f for f in (corpus_counters, class_histogram, field_coverage, point_rollup, fact_rollup, group_counts, strata_shares, group_straddle, overlap_matrix, agreement_pairs, label_conflicts, label_status, join_coverage, digest_join, crosswalk_join, exact_dups, identical_codes, hamming_pairs, distance_band, union_pairs, gate_pairs, prior_band, nearest_in_band, channel_union, digest_sets, schema_union, manifest_diff, alias_collapse, per_config_counts, manifest_coverage, vocabulary_coverage, node_reach, table_fingerprint)}
 
 IMG = f"img as (select *, {D64('image_sha256')} as digest, {SPLIT('split')} as s from metadata)"
 ROLL = """k as (select {g}, label, count(*) as n from r group by 1, 2),
@@ -208,6 +237,8 @@ ROLL = """k as (select {g}, label, count(*) as n from r group by 1, 2),
  f as (select k.{g}, label, n / known as share from k join q using ({g}) where label <> 'unknown' and known > 0),
  o as (select {g}, arg_max(label, share) as top, max(share) as best, string_agg(label, ',' order by label) filter (share >= 0.1) as present, count(*) as classes from (select * from f order by {g}, share desc, label) group by 1)"""
 HAM = f"{DH}, pr as (select a.digest as sha_a, b.digest as sha_b, bit_count(xor(('0x' || substr(a.code, 1, 8))::bigint, ('0x' || substr(b.code, 1, 8))::bigint)) + bit_count(xor(('0x' || substr(a.code, 9))::bigint, ('0x' || substr(b.code, 9))::bigint)) as distance from dh a join dh b on a.digest < b.digest)"  # noqa: E501
+PRIOR = f"""{HAM}, near as (select sha_a, sha_b, min(distance)::int as distance from pr where distance <= 8 group by 1, 2), fb as (select {D64('image_sha256')} as digest, min(batch) as batch from metadata where batch is not null group by 1),
+ band as (select case when x.batch > y.batch then sha_a else sha_b end as new, case when x.batch > y.batch then sha_b else sha_a end as prior, distance from near join fb x on x.digest = sha_a join fb y on y.digest = sha_b where x.batch <> y.batch and distance > 4)"""
 SQL = {
     "corpus_counters": f"with {IMG} select source_id, s as split, grouping(source_id, s)::int as grain, count(*) as rows, count(distinct digest) as images from img group by grouping sets ((), (source_id), (s), (source_id, s))",
     "class_histogram": "select l_returnflag, l_linestatus, count(*) as n, round(sum(l_quantity), 2) as quantity from lineitem group by 1, 2",
@@ -226,6 +257,10 @@ SQL = {
     "crosswalk_join": f"with x as (select distinct {WORD('key')} as key, name, aphia_id from taxonomy where kind = 'node'), g as (select {WORD('key')} as target, name, aphia_id from taxonomy where kind = 'node' and rank is not null), i as (select aphia_id, min(target) as target from g where aphia_id is not null group by 1), n as (select name, min(target) as target from g where name is not null group by 1) select distinct key, coalesce(i.target, n.target) as target, case when i.target is not null then 'number' when n.target is not null then 'name' end as how from x left join i using (aphia_id) left join n on x.name = n.name",
     "exact_dups": f"with {DH}, l as (select digest as b, lag(digest) over (partition by code order by digest) as a from dh) select a as sha_a, b as sha_b from l where a is not null",
     "identical_codes": f"with {DH} select code, count(distinct digest) as images, min(digest) as first from dh group by 1 having count(distinct digest) > 1",
+    "union_pairs": f"with {HAM} select sha_a, sha_b, min(distance)::int as distance from pr where distance <= 4 group by 1, 2",
+    "gate_pairs": f"with {PRIOR} select * from near",
+    "prior_band": f"with {PRIOR} select * from band",
+    "nearest_in_band": f"with {PRIOR} select new, prior, distance from band qualify row_number() over (partition by new order by distance, prior) = 1",
     "hamming_pairs": f"with {HAM} select sha_a, sha_b, distance::int as distance from pr where distance <= 3",
     "distance_band": f"with {HAM} select sha_a, sha_b, distance::int as distance from pr where distance > 1 and distance <= 3",
     "channel_union": f"with p as (select {D64('sha_a')} as x, {D64('sha_b')} as y, {WORD('channels')} as c from pairs) select least(x, y) as sha_a, greatest(x, y) as sha_b, bit_or(case when c = 'dhash' then 1 when c = 'phash64' then 2 when c = 'embed' then 4 else 8 end)::int as bits from p where x is not null and y is not null and x <> y group by 1, 2",
