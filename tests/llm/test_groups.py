@@ -117,3 +117,14 @@ def test_differencing_balances():
         load[b] += x
     assert len(load) == 7 and max(load.values()) - min(load.values()) < 20
     assert splits.differencing([], 3) == [] and len(splits.differencing([5], 3)) == 1
+
+
+def test_chain_guard_sees_chains_of_different_codes(spark):
+    sha = lambda i: f"{i:064x}"
+    chain = [(sha(i), f"{(1 << 4 * i) - 1 ^ 0x123456789ABCDEF0:016x}") for i in range(1, 16)]  # 4 bits a step, no two equal
+    far = [(sha(100 + i), f"{random.Random(i).getrandbits(64):016x}") for i in range(30)]
+    d = spark.createDataFrame([*chain, *far, (sha(100), far[1][1]), (None, "1" * 16), (sha(500), "0" * 16)], "sha256 string, dhash string")
+    p = spark.createDataFrame([(sha(1), sha(102), True), (sha(1), sha(103), False), (sha(1), sha(104), None), (sha(2), sha(999), True)], "sha_a string, sha_b string, confirmed boolean")
+    assert [tuple(r) for r in groups.chain_guard(spark, d, p).collect()] == [(16, 45, False)]
+    assert [tuple(r) for r in groups.chain_guard(spark, d, p, most=0.5).collect()] == [(16, 45, True)]
+    assert [tuple(r) for r in groups.chain_guard(spark, d.limit(0), p).collect()] == [(None, 0, True)]

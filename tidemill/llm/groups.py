@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.identity import code, digest
+from tidemill.operators.relate import near_codes
 from tidemill.session import Scratch
 
 #: Rounds of breadth-first search before what was reached is contracted instead of awaited (a chain has no small diameter).
@@ -123,3 +124,23 @@ def match_groups(spark: SparkSession, phash: DataFrame, dhash: DataFrame, pairs:
     codes = dhash.select(digest(F.col("sha256")).alias("digest"), code(F.col("dhash"), 16, pad=True).alias("code")).dropna().distinct()
     found = components(spark, equal_code_edges(codes).union(confirmed.select("a", "b")), scratch)
     return found.select(F.col("v").alias("sha256"), F.col("root").alias("group_id"))
+
+
+def chain_guard(spark: SparkSession, dhash: DataFrame, pairs: DataFrame, radius: int = 4, most: float = 0.01) -> DataFrame:
+    """(largest, images, passed): the largest component of near copies, against ``most`` of the images with a code.
+
+    Links are codes at most ``radius`` bits apart, equal codes too, and confirmed pairs of images with a code. Codes are
+    vertices of their own, so that equal ones need no pairs. Without images there is no size, and it is passed.
+    """
+    scratch = Scratch(spark, "chain-guard")
+    codes = scratch.keep(dhash.select(digest(F.col("sha256")).alias("digest"), code(F.col("dhash"), 16, pad=True).alias("code")).dropna().distinct())
+    known = codes.select("digest").distinct()
+    as_code = lambda c: F.concat(F.lit("code:"), c)
+    links = codes.select(F.col("digest").alias("a"), as_code("code").alias("b"))
+    links = links.union(near_codes(codes.select("code"), radius).select(as_code("ca"), as_code("cb")))
+    ends = pairs.filter("confirmed").select(digest(F.col("sha_a")).alias("a"), digest(F.col("sha_b")).alias("b"))
+    links = links.union(ends.join(known.withColumnRenamed("digest", "a"), "a", "left_semi").join(known.withColumnRenamed("digest", "b"), "b", "left_semi").select("a", "b"))
+    found = components(spark, links, scratch)
+    size = found.filter("v not like 'code:%'").groupBy("root").agg(F.count("*").alias("n"))
+    out = size.agg(F.max("n").alias("largest"), F.coalesce(F.sum("n"), F.lit(0)).alias("images"))
+    return out.select("largest", "images", F.coalesce(F.col("largest") <= most * F.col("images"), F.lit(True)).alias("passed"))

@@ -31,6 +31,12 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return match_groups(spark, *read(spark, d, "phash", "dhash", "pairs"))
 
 
+def chain_guard(spark: SparkSession, d: str) -> DataFrame:
+    from tidemill.llm.groups import chain_guard as guard
+
+    return guard(spark, *read(spark, d, "dhash", "pairs"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     from tidemill.llm.history import backfill
 
@@ -107,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "p2_found": p2_found,
     "p2_report": p2_report,
     "p3_found": p3_found,
+    "chain_guard": chain_guard,
     "p4_found": p4_found,
     "p4_splits": p4_splits,
     "p5_found": p5_found,
