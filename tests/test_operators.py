@@ -259,3 +259,21 @@ def test_near_items_beyond_three_bits(spark, radius):
     df = spark.createDataFrame([*rows, (None, "0" * 16), ("e", None)], "digest string, code string")
     got = [tuple(r) for r in R.near_items(df, "digest", "code", radius).collect()]
     assert set(got) == want and len(got) == len(want) and (radius < 4 or max(w[2] for w in want) == radius)
+
+
+def test_stratified_allocation_gives_every_stratum_its_ratios(spark):
+    ratios = {"train": 0.7, "val": 0.15, "test": 0.15}
+    big, low = {f"b{i:02d}": 100 for i in range(20)}, {f"s{i:02d}": 2 for i in range(20)}
+    counts = {"big": big, "low": low, "tiny": {"t1": 9, "t2": 1}}
+    got = A.fill_strata(counts, ratios)
+    for members in (big, low):
+        assert {s: sum(got[g] == s for g in members) for s in ratios} == {"train": 14, "val": 3, "test": 3}
+    assert got["t1"] == got["t2"] == "train"
+    plain = A.fill(big | low | counts["tiny"], ratios)
+    assert [sum(plain[g] == s for g in low) for s in ratios] != [14, 3, 3]
+    # three groups: by shares 0.6, 0.3, 0.1 alone two go to train; the repair leaves no split empty, and a shared group goes once
+    assert set(A.fill_strata({"x": {"a": 98, "b": 1, "c": 1}}, ratios).values()) == set(ratios)
+    assert A.fill_strata({"x": {"a": 5, "b": 5, "c": 5}, "y": {"a": 1}}, ratios).keys() == {"a", "b", "c"}
+    df = spark.createDataFrame([(k, g) for k, m in counts.items() for g, n in m.items() for _ in range(n)] + [(None, "z"), ("big", None)], "s string, g string")
+    assert {r.g: (r.n, r.split) for r in A.stratified(df, "s", "g", ratios).collect()} == {g: (n, got[g]) for m in counts.values() for g, n in m.items()}
+    assert A.stratified(df.limit(0), "s", "g", ratios).count() == 0

@@ -26,6 +26,12 @@ def stratum_allocation(spark: SparkSession, d: str) -> DataFrame:
     return A.greedy(t(spark, d, "documents"), "source", {"train": 0.8, "test": 0.2}, seed="7")
 
 
+def stratified_allocation(spark: SparkSession, d: str) -> DataFrame:
+    """Sites to splits so that every source gets the ratios; a site of several sources goes once."""
+    m = t(spark, d, "metadata").select("source_id", F.nullif(F.trim("site_id"), F.lit("")).alias("site_id"))
+    return A.stratified(m, "source_id", "site_id", RATIOS)
+
+
 def grouped_folds(spark: SparkSession, d: str) -> DataFrame:
     return A.folds(t(spark, d, "documents"), "source", 5)
 
@@ -105,7 +111,7 @@ def hierarchy_faults(spark: SparkSession, d: str) -> DataFrame:
     return x.agg(F.count_if(F.col("p").isNotNull() & F.col("known").isNull()).alias("unknown_parent"), F.count_if(F.col("k") == F.col("p")).alias("own_parent"), F.countDistinct("k").alias("keys"))
 
 
-QUERIES = {f.__name__: f for f in (group_allocation, stratum_allocation, grouped_folds, hash_splits, map_growth, ood_holdouts, upstream_test, pins, inherited, province_choice, hierarchy_closure, task_projection, label_map, hierarchy_faults)}
+QUERIES = {f.__name__: f for f in (group_allocation, stratum_allocation, stratified_allocation, grouped_folds, hash_splits, map_growth, ood_holdouts, upstream_test, pins, inherited, province_choice, hierarchy_closure, task_projection, label_map, hierarchy_faults)}
 
 
 def fold_sql(table: str, key: str, ratios: dict[str, float], seed: str) -> str:
