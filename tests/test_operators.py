@@ -14,6 +14,7 @@ from tidemill.functions import identity as I
 from tidemill.operators import allocate as A
 from tidemill.operators import checks as Q
 from tidemill.operators import columns as C
+from tidemill.operators import curate as K
 from tidemill.operators import harmonise as H
 from tidemill.operators import measure as M
 from tidemill.operators import relate as R
@@ -277,3 +278,17 @@ def test_stratified_allocation_gives_every_stratum_its_ratios(spark):
     df = spark.createDataFrame([(k, g) for k, m in counts.items() for g, n in m.items() for _ in range(n)] + [(None, "z"), ("big", None)], "s string, g string")
     assert {r.g: (r.n, r.split) for r in A.stratified(df, "s", "g", ratios).collect()} == {g: (n, got[g]) for m in counts.values() for g, n in m.items()}
     assert A.stratified(df.limit(0), "s", "g", ratios).count() == 0
+
+
+def test_flipped_codes_are_those_of_flipped_pictures(spark):
+    rng = random.Random(4)
+    rows = []
+    for _ in range(20):
+        picture = [rng.sample(range(256), 9) for _ in range(8)]
+        of = lambda p: "".join(f"{sum((r[i + 1] > r[i]) << 7 - i for i in range(8)):02x}" for r in p)
+        rows.append((of(picture), of([r[::-1] for r in picture]), of(picture[::-1])))
+    df = spark.createDataFrame(rows, "c string, h string, v string")
+    across, down = K.flipped(F.col("c"))
+    assert [tuple(r) for r in df.select("c", across, down).collect()] == rows
+    best = K.least_of(F.lit(5), F.lit(3), F.lit(3))
+    assert tuple(df.select(*best).first()) == (3, "left-right")

@@ -34,6 +34,21 @@ def mirrored(code: Column) -> Column:
     return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.reverse(F.substring(swap, i * 2 + 1, F.lit(2)))), "")
 
 
+def flipped(code: Column) -> tuple[Column, Column]:
+    """The 64-bit gradient codes of the picture flipped from left to right and upside down. A bit says that the next pixel
+    of a row is brighter, so left to right each row of 8 bits is reversed and inverted (pixels equal to their neighbours
+    differ by that, as they have no order); upside down the rows change places."""
+    across = F.translate(mirrored(code), "0123456789abcdef", "fedcba9876543210")
+    down = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.substring(code, 15 - i * 2, F.lit(2))), "")
+    return across, down
+
+
+def least_of(as_is: Column, across: Column, down: Column) -> tuple[Column, Column]:
+    """The least of three distances, and of what orientation it is; the first of equals."""
+    best = F.least(as_is, across, down)
+    return best, F.when(as_is == best, "as is").when(across == best, "left-right").otherwise("upside down")
+
+
 def confirm_kind(distance: Column, far: Column, cosine: Column, exact: Column) -> Column:
     """Why a pair is confirmed, the strongest reason first: exact, copy, agree; null if by nothing."""
     return F.when(exact, "exact").when((distance <= 2) & (far <= 24), "copy").when((distance <= 6) & (cosine >= 0.9), "agree")

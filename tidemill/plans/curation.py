@@ -167,6 +167,18 @@ def mirrored_pairs(spark: SparkSession, d: str) -> DataFrame:
     return x.select("digest", "code", F.least("a", "b").cast("int").alias("distance"), F.when(F.col("a") <= F.col("b"), "as is").otherwise("mirrored").alias("how"))
 
 
+def oriented_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Every candidate pair of images with codes: the least distance of the second to the first as it is, flipped from left
+    to right and upside down, and which; the least over all codes of images with several."""
+    p = t(spark, d, "pairs").select(digest(F.col("sha_a")).alias("sha_a"), digest(F.col("sha_b")).alias("sha_b")).dropna().distinct()
+    c = codes(spark, d)
+    x = p.join(c.select(F.col("digest").alias("sha_a"), F.col("code").alias("ca")), "sha_a").join(c.select(F.col("digest").alias("sha_b"), F.col("code").alias("cb")), "sha_b")
+    across, down = K.flipped(F.col("ca"))
+    far = [F.min(hamming(c, F.col("cb"), 16)).cast("int").alias(n) for c, n in ((F.col("ca"), "d0"), (across, "d1"), (down, "d2"))]
+    best, how = K.least_of(F.col("d0"), F.col("d1"), F.col("d2"))
+    return x.groupBy("sha_a", "sha_b").agg(*far).select("sha_a", "sha_b", best.alias("distance"), how.alias("how"))
+
+
 def confirm_kinds(spark: SparkSession, d: str) -> DataFrame:
     p = t(spark, d, "pairs")
     same = digest(F.col("sha_a")) == digest(F.col("sha_b"))
@@ -240,7 +252,7 @@ def value_cache(spark: SparkSession, d: str) -> DataFrame:
     return K.cached(spark, path, docs, "doc_id", compute)
 
 
-QUERIES = {f.__name__: f for f in (source_facets, hidden_drop, score_bands, people_scan, resolved_splits, verified_boxes, schema_report, stamped_config, site_mentions, prefix_join, cover_json, code_histogram, lineage_record, band_sample, nearest_prior, audit_sample, place_groups, gradient_codes, mirrored_pairs, confirm_kinds, instance_codes, star_links, largest_cluster, twin_conflicts, qa_pairs, presence_rows, mean_precision, logistic_probe, value_cache)}
+QUERIES = {f.__name__: f for f in (source_facets, hidden_drop, score_bands, people_scan, resolved_splits, verified_boxes, schema_report, stamped_config, site_mentions, prefix_join, cover_json, code_histogram, lineage_record, band_sample, nearest_prior, audit_sample, place_groups, gradient_codes, mirrored_pairs, oriented_pairs, confirm_kinds, instance_codes, star_links, largest_cluster, twin_conflicts, qa_pairs, presence_rows, mean_precision, logistic_probe, value_cache)}
 IMG = f"img as (select *, {D64('image_sha256')} as digest from metadata)"
 HEX = lambda c: f"('0x' || {c})::bigint"
 BITS = lambda a, b: f"bit_count(xor({HEX(f'substr({a}, 1, 8)')}, {HEX(f'substr({b}, 1, 8)')})) + bit_count(xor({HEX(f'substr({a}, 9)')}, {HEX(f'substr({b}, 9)')}))"
@@ -264,6 +276,10 @@ SQL = {
     "audit_sample": "with x as (select doc_id, count(*) over (partition by source, kind) as size, row_number() over (partition by source, kind order by sha256('0:' || doc_id), doc_id) as r from documents) select doc_id, round(size / least(size, 2), 6) as weight from x where r <= 2",
     "place_groups": f"with {IMG}, g as (select case when lat between -90 and 90 and lon between -180 and 360 and not (lat = 0 and lon = 0) and capture_datetime is not null then round_even(lat, 2) || ':' || round_even(lon, 2) || ':' || capture_datetime::date end as place, nullif(trim(site_id), '') as site, digest, row_id from img) select case when site is not null then 'site' when place is not null then 'place' when digest is not null then 'image' else 'row' end as rule, count(*) as n, count(distinct coalesce(site, place, digest, row_id::varchar)) as \"groups\" from g group by 1",
     "gradient_codes": "select vec_id, array_to_string(list_transform(range(1, 64), lambda i: case when embedding[(i + 1)::int] > embedding[i::int] then '1' else '0' end), '') as bits from embeddings",
+    "oriented_pairs": f"""with {DH}, p as (select distinct {D64('sha_a')} as sha_a, {D64('sha_b')} as sha_b from pairs), c as (select sha_a, sha_b, a.code as ca, b.code as cb from p join dh a on a.digest = sha_a join dh b on b.digest = sha_b),
+ f as (select *, translate({MIRROR.replace('code', 'ca')}, '0123456789abcdef', 'fedcba9876543210') as ch, array_to_string([substr(ca, 15 - 2 * i, 2) for i in range(8)], '') as cv from c),
+ d as (select sha_a, sha_b, min({BITS('ca', 'cb')})::int as d0, min({BITS('ch', 'cb')})::int as d1, min({BITS('cv', 'cb')})::int as d2 from f group by 1, 2)
+ select sha_a, sha_b, least(d0, d1, d2) as distance, case when d0 <= d1 and d0 <= d2 then 'as is' when d1 <= d2 then 'left-right' else 'upside down' end as how from d""",
     "mirrored_pairs": f"with {DH}, f as (select substr(digest, 1, 2) as g, arg_min(code, digest) as first from dh group by 1), x as (select digest, code, {BITS('code', 'first')} as a, {BITS(MIRROR, 'first')} as b from dh join f on substr(digest, 1, 2) = g) select digest, code, least(a, b)::int as distance, case when a <= b then 'as is' else 'mirrored' end as how from x",
     "confirm_kinds": f"select case when coalesce({D64('sha_a')} = {D64('sha_b')}, false) then 'exact' when d_dhash <= 2 and d_phash <= 24 then 'copy' when d_dhash <= 6 and cos >= 0.9 then 'agree' end as reason, coalesce(confirmed, false) as confirmed, count(*) as n from pairs group by 1, 2",
     "instance_codes": "select (l_orderkey * 7 + l_linenumber) // 2000 as class, count(distinct (l_orderkey * 7 + l_linenumber) % 2000) as instances from lineitem group by 1",
