@@ -292,3 +292,16 @@ def test_flipped_codes_are_those_of_flipped_pictures(spark):
     assert [tuple(r) for r in df.select("c", across, down).collect()] == rows
     best = K.least_of(F.lit(5), F.lit(3), F.lit(3))
     assert tuple(df.select(*best).first()) == (3, "left-right")
+
+
+def test_nearest_vectors_cross_labels_and_batches(spark):
+    rng = random.Random(6)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(300)]
+    rows[7] = (7, [2 * x for x in rows[20][1]])  # the nearest of 20, whatever its label
+    df = spark.createDataFrame([*rows, (None, rows[0][1]), (900, None), (901, [0.0] * 8), (902, [float("nan")] * 8), (903, [1.0])], "id bigint, v array<float>").repartition(3)
+    cos = lambda a, b: round(sum(x * y for x, y in zip(a, b, strict=True)) / math.hypot(*a) / math.hypot(*b), 5)
+    got = R.nearest_vectors(spark, df, "id", "v", F.col("id") % 20 == 0, 4, block=32).collect()
+    want = {(q, n): v for q in range(0, 300, 20) for v, n in sorted(((cos(rows[q][1], w), i) for i, w in rows if i != q), reverse=True)[:4]}
+    assert {(r.query, r.other) for r in got} == set(want) and (20, 7) in want and len(got) == 60
+    assert all(abs(r.cos - want[r.query, r.other]) < 1e-4 for r in got)
+    assert R.nearest_vectors(spark, df.limit(0), "id", "v", F.col("id") % 20 == 0, 4).count() == 0

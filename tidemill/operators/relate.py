@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.identity import hamming
@@ -143,6 +143,47 @@ def near_items(rows: DataFrame, item: str, bits: str, radius: int) -> DataFrame:
     return met.groupBy(F.least("x", "y").alias("sha_a"), F.greatest("x", "y").alias("sha_b")).agg(F.min("distance").alias("distance"))
 
 
+def nearest_vectors(spark: SparkSession, rows: DataFrame, key: str, vector: str, wanted: Column, k: int, block: int = 512) -> DataFrame:
+    """(query, other, cos, place) of the k rows of greatest cosine to each row that is ``wanted``, among all others, exactly.
+
+    Queries are broadcast; each task keeps a running k for every query over its blocks of rows, and these are merged. Cosines
+    are rounded to 6 places, ties go to the smaller key. Null keys, null, zero and non-finite vectors, and those of another
+    length than the first query's, are no rows.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    ok = rows.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.coalesce(wanted, F.lit(False)).alias("w"))
+    ok = ok.filter(F.col("id").isNotNull() & F.exists("v", lambda x: x != 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
+    got = ok.filter("w").select("id", "v").orderBy("id").collect()
+    width = len(got[0]["v"]) if got else 0
+    got = [r for r in got if len(r["v"]) == width]
+    unit = lambda a: a / np.linalg.norm(a, axis=1, keepdims=True)
+    shared = spark.sparkContext.broadcast((np.array([r["id"] for r in got], np.int64), unit(np.array([r["v"] for r in got], np.float64).reshape(len(got), width)) if got else None))
+
+    def run(batches):
+        ids, q = shared.value
+        top = np.full((len(ids), k), -2.0), np.full((len(ids), k), np.iinfo(np.int64).max)
+        for b in batches:
+            for at in range(0, len(b) if len(ids) else 0, block):
+                part = b.slice(at, block)
+                other = part.column("id").to_numpy()
+                v = unit(part.column("v").flatten().to_numpy().reshape(len(other), width))
+                for lo in range(0, len(ids), block):
+                    s = slice(lo, lo + block)
+                    cos = np.round(q[s] @ v.T, 6)
+                    cos[ids[s, None] == other[None]] = -2
+                    cos, name = np.concatenate([top[0][s], cos], 1), np.concatenate([top[1][s], np.broadcast_to(other, cos.shape)], 1)
+                    best = np.lexsort((name, -cos), axis=1)[:, :k]
+                    top[0][s], top[1][s] = np.take_along_axis(cos, best, 1), np.take_along_axis(name, best, 1)
+        x, y = np.nonzero(top[0] > -2)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[x]), pa.array(top[1][x, y]), pa.array(top[0][x, y])], ["query", "other", "cos"])
+
+    part = ok.filter(F.size("v") == width).select("id", "v").mapInArrow(run, "query bigint, other bigint, cos double")
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("cos"), "other"))
+    return part.withColumn("place", place).filter(F.col("place") <= k)
+
+
 def difference(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
     """(key, change): added, removed, changed or kept; null values are equal to each other."""
     j = old.alias("o").join(new.alias("n"), F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer")

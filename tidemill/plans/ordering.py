@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.identity import word
 from tidemill.operators import columns as C
 from tidemill.operators import measure as M
+from tidemill.operators import relate as R
 from tidemill.operators import sample as S
 from tidemill.plans.relations import DH, D64, codes, images
 from tidemill.plans.scalars import SPLIT, WORD, t
@@ -118,6 +119,12 @@ def top_similar(spark: SparkSession, d: str) -> DataFrame:
     return best.select("hub", F.explode("l").alias("x")).select("hub", "x.vec_id", (-F.col("x.m")).alias("cos"))
 
 
+def nearest_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Ten vectors of greatest cosine, of any label, to each vector whose id is divisible by 20."""
+    x = R.nearest_vectors(spark, t(spark, d, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, 10)
+    return x.select(F.col("query").alias("hub"), F.col("other").alias("vec_id"), "cos")
+
+
 def grid_search(spark: SparkSession, d: str) -> DataFrame:
     """The pair of thresholds with the best precision among those that keep a recall; ties to the smaller thresholds."""
     p = t(spark, d, "pairs").filter("confirmed is not null and d_phash is not null and d_dhash is not null")
@@ -129,7 +136,7 @@ def grid_search(spark: SparkSession, d: str) -> DataFrame:
     return g.filter("recall >= 0.2").orderBy(F.desc("precision"), F.desc("recall"), "tp", "td").limit(1)
 
 
-QUERIES = {f.__name__: f for f in (bottom_k_by_hash, first_photo, capped_admission, stratified_sample, stratum_quotas, stride_sample, whole_group_sample, capped_total, greedy_chunks, kept_frames, nearest_earlier, series_completeness, percentile_threshold, recall_threshold, positional_join, stem_twins, capped_failures, top_similar, grid_search)}
+QUERIES = {f.__name__: f for f in (bottom_k_by_hash, first_photo, capped_admission, stratified_sample, stratum_quotas, stride_sample, whole_group_sample, capped_total, greedy_chunks, kept_frames, nearest_earlier, series_completeness, percentile_threshold, recall_threshold, positional_join, stem_twins, capped_failures, top_similar, nearest_vectors, grid_search)}
 IMG = f"img as (select *, {D64('image_sha256')} as digest from metadata)"
 SQL = {
     "bottom_k_by_hash": "select source, doc_id from documents qualify row_number() over (partition by source order by sha256('0:' || doc_id), doc_id) <= 3",
@@ -154,5 +161,6 @@ SQL = {
     "stem_twins": "select regexp_replace(lower(stem), '[^a-z0-9]+', '', 'g') as key, count(distinct source_id) as sources, count(*) as n from staged_images group by 1 having count(distinct source_id) > 1",
     "capped_failures": f"with v as (select row_id, unnest([case when {WORD('split')} is null then 'no split' end, case when {WORD('site_id')} is null then 'no site' end]) as what from metadata) select what, count(*) as n, array_to_string(list_slice(list_sort(list(row_id)), 1, 3), ',') as examples from v where what is not null group by 1",
     "top_similar": "with h as (select label, arg_min(embedding, vec_id) as h, min(vec_id) as hub from embeddings group by 1), x as (select hub, vec_id, round(list_dot_product(embedding::double[], h::double[]), 5) as cos from embeddings join h using (label) where vec_id <> hub) select hub, vec_id, cos from x qualify row_number() over (partition by hub order by cos desc, vec_id) <= 3",
+    "nearest_vectors": "with x as (select a.vec_id as hub, b.vec_id, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 6) as cos from embeddings a join embeddings b on a.vec_id <> b.vec_id where a.vec_id % 20 = 0) select hub, vec_id, cos from x qualify row_number() over (partition by hub order by cos desc, vec_id) <= 10",
     "grid_search": "with g as (select tp::int as tp, td::int as td from (select unnest(range(4, 132, 16)) as tp), (select unnest(range(4, 132, 16)) as td)), s as (select tp, td, count(*) filter (d_phash <= tp and d_dhash <= td) as n, count(*) filter (d_phash <= tp and d_dhash <= td and confirmed) as k, count(*) filter (confirmed) as m from pairs, g where confirmed is not null and d_phash is not null and d_dhash is not null group by 1, 2) select tp, td, round(k / nullif(n, 0), 6) as precision, round(k / nullif(m, 0), 6) as recall from s where round(k / nullif(m, 0), 6) >= 0.2 order by precision desc nulls last, recall desc, tp, td limit 1",
 }
