@@ -150,19 +150,37 @@ def vectors(n, seed):
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-@pytest.mark.parametrize("cell, aim", [(1 << 14, 6000), (40, 6000), (1 << 14, 3)])
-def test_recall(spark, monkeypatch, cell, aim):
-    monkeypatch.setattr(neighbours, "BUCKET_ROWS", cell)
-    monkeypatch.setattr(neighbours, "AIM", aim)
-    v = np.float32(vectors(1500, 3))
+@pytest.mark.parametrize("rows, depth", [(1 << 17, 1), (40, 1), (1 << 17, 2), (1 << 17, 3)])
+def test_recall(spark, monkeypatch, rows, depth):
+    """Against brute force at every number of joined hashes, and with all buckets cut into pieces."""
+    monkeypatch.setattr(neighbours, "BUCKET_ROWS", rows)
+    v = np.float32(vectors(1500 if depth == 1 else 450, 3))
     df = spark.createDataFrame([(f"{i:04d}", [float(y) for y in x]) for i, x in enumerate(v)], "key string, vec array<float>")
-    got = {(r.key, r.other): r.cos for r in neighbours.nearest(spark, df).collect()}
+    got = {(r.key, r.other): r.cos for r in neighbours.nearest(spark, df, depth=depth).collect()}
     cos = v.astype(float) @ v.T.astype(float)
     np.fill_diagonal(cos, -2)
     best = np.argsort(-cos, axis=1)[:, :5]
     want = {(f"{i:04d}", f"{j:04d}") for i in range(len(v)) for j in best[i] if cos[i, j] >= 0.85}
-    assert len(want & set(got)) / len(want) >= (0.97 if aim > 3 else 0.9)
+    assert len(want & set(got)) / len(want) >= 0.97
     assert all(abs(c - cos[int(a), int(b)]) < 1e-5 for (a, b), c in got.items())
+    close = {(r.key, r.other) for r in neighbours.nearest(spark, df, least=0.85, depth=depth).collect() if r.cos >= 0.85}
+    assert close == {p for p, c in got.items() if c >= 0.85}
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3])
+@pytest.mark.parametrize("cos", [0.85, 0.9])
+def test_pairs_at_the_bound_meet(cos, depth):
+    rng = np.random.default_rng(7)
+    a, r = rng.standard_normal((2, 600, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    r -= (r * a).sum(1, keepdims=True) * a
+    b = cos * a + np.sqrt(1 - cos * cos) * r / np.linalg.norm(r, axis=1, keepdims=True)
+    met: set[int] = set()
+    for t in range(neighbours.TABLES[depth]):
+        (i, x, own), (j, y, other) = (neighbours.buckets(v.astype(np.float32), t, depth) for v in (a, b))
+        met |= {k for k, _ in set(zip(i, x, strict=True)) & set(zip(j[other], y[other], strict=True))}
+        met |= {k for k, _ in set(zip(i[own], x[own], strict=True)) & set(zip(j, y, strict=True))}
+    assert len(met) / 600 >= 0.95
 
 
 def test_copies_ties_and_unusable(spark):
