@@ -39,14 +39,18 @@ def near(codes: list[int], r: int) -> set[tuple[int, int]]:
     return {(i, j) for i in range(len(codes)) for j in range(i + 1, len(codes)) if (codes[i] ^ codes[j]).bit_count() <= r and codes[i] != codes[j]}
 
 
-@pytest.mark.parametrize("radius, rows, hot", [(24, 1 << 20, 0.0), (24, 100, 0.0), (24, 60, 0.34), (7, 1 << 20, 0.0), (3, 50, 0.5), (1, 1 << 20, 0.0), (0, 40, 0.3)])
-def test_matching_is_exact(spark, radius, rows, hot):
+@pytest.mark.parametrize("radius, rows, hot, h", [(24, 1 << 20, 0.0, 0), (24, 100, 0.0, 3), (24, 60, 0.34, 2), (7, 1 << 20, 0.0, 1), (3, 50, 0.5, 0), (1, 1 << 20, 0.0, 0), (0, 40, 0.3, 0)])
+def test_matching_is_exact(spark, monkeypatch, radius, rows, hot, h):
+    monkeypatch.setattr(hamming, "HOT", 8 if hot else 1 << 11)
     codes = corpus(400, radius, hot)
-    df = spark.createDataFrame([(i, sha(c)) for i, c in enumerate(codes)], "id bigint, code string")
+    rng = random.Random(radius)
+    side = [rng.choice([hamming.INDEX, hamming.PROBE, hamming.INDEX + hamming.PROBE]) for _ in codes]
+    df = spark.createDataFrame([(i, sha(c), side[i]) for i, c in enumerate(codes)], "id bigint, code string, side int")
     layout, runs = hamming.runs_of(F.col("code"), 64, radius)
-    found = hamming.matching(df.select("id", runs.alias("runs"), F.lit(0).alias("lo"), F.lit(1).alias("hi")), layout, len(codes), rows)
+    found = hamming.matching(df.select("id", runs.alias("runs"), "side"), layout, len(codes), rows, h)
     got = {(r.a, r.b) for r in found.collect() if codes[r.a] != codes[r.b] and (codes[r.a] ^ codes[r.b]).bit_count() <= radius}
-    assert got == near(codes, radius)
+    both = near(codes, radius)
+    assert got == {(a, b) for i, j in both for a, b in ((i, j), (j, i)) if side[a] & hamming.INDEX and side[b] & hamming.PROBE}
 
 
 def test_layout_keeps_the_ring_rule():
@@ -110,7 +114,28 @@ def test_overlaps_against_brute_force(spark):
                 want.add((sha(i), sha(j)))
     assert got == want and len(want) > 20
     n = cross_split.overlap_report(spark, m, p, e)
-    assert n.columns == ["split", "source_id", "images", "exact", "near"] and n.count() > 0
+    report = {(r.split, r.source_id): (r.images, r.exact, r.near) for r in n.collect()}
+    train = {k for k, x in side.items() if "t" in x}
+    close = lambda i, j: (codes[i] ^ codes[j]).bit_count() <= 24 or cos[i, j] >= 0.95
+    images = {}
+    for _, s, source, _, _, split in meta:
+        w = (split or "").strip().lower()
+        if s and w in ("test", "val"):
+            k = s.strip().lower().split(":")[-1]
+            exact, partner = k in train, any(close(int(k, 16), int(t, 16)) for t in train if t != k)
+            if exact or partner:
+                images.setdefault((w, source), {})[k] = (exact, partner)
+    assert report == {g: (len(x), sum(e for e, _ in x.values()), sum(p for _, p in x.values())) for g, x in images.items()}
+
+
+def test_report_counts_only_train_copies(spark):
+    """A is in train and in test, B in test only and near A: A has no near copy in train, B has one."""
+    a, b = random.Random(1).getrandbits(256), 0
+    b = a ^ 0b111
+    m = spark.createDataFrame([(1, sha(1), "s", "train"), (2, sha(1), "s", "test"), (3, sha(2), "s", "test")], "row_id bigint, image_sha256 string, source_id string, split string")
+    p = spark.createDataFrame([(sha(1), f"{a:064x}"), (sha(2), f"{b:064x}")], "sha256 string, phash string")
+    e = spark.createDataFrame([], "key string, vec array<float>")
+    assert [tuple(r) for r in cross_split.overlap_report(spark, m, p, e).collect()] == [("test", "s", 2, 1, 1)]
 
 
 def history_truth(meta, codes):
@@ -128,9 +153,10 @@ def test_backfill_and_increments_agree(spark):
     want = history_truth(meta, codes)
     assert {tuple(r) for r in history.backfill(spark, m, p).collect()} == want and len(want) > 20
     rows = history.deliveries(m, p)
-    h = history.History(spark, f"{Scratch(spark, 'test').root}/h")
+    path = f"{Scratch(spark, 'test').root}/h"
     got = set()
     for b in range(4):
+        h = history.History(spark, path)  # opened again for each batch
         batch = rows.filter(F.col("batch") == b)
         if b:
             got |= {tuple(r) for r in h.check(batch).collect()}

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.identity import code, digest, hamming, word
-from tidemill.llm.hamming import Layout, matching, runs_of, verified
+from tidemill.llm.hamming import INDEX, PROBE, Layout, matching, runs_of, verified
 from tidemill.session import Scratch
 
 #: The spellings of the two sides, after lower-casing and trimming.
@@ -33,16 +33,15 @@ def usable_vector(c: Column, size: int = 64) -> Column:
 
 
 def sides(rows: DataFrame, split: str = "split", key: str = "digest") -> DataFrame:
-    """(digest, lo, hi): lo is 0 if the digest has a train row (else 9), hi is 1 if it has an evaluation row (else -1), so
-    that lo_a < hi_b says that a is in train and b in evaluation. Rows of neither side are dropped."""
+    """(digest, side): INDEX if the digest has a train row, PROBE if it has an evaluation row, or both added. Rows of neither
+    side are dropped."""
     s = word(F.col(split))
-    rows = rows.select(key, F.when(s.isin(TRAIN), 0).otherwise(9).alias("lo"), F.when(s.isin(EVALUATION), 1).otherwise(-1).alias("hi"))
-    rows = rows.filter((F.col("lo") == 0) | (F.col("hi") == 1))
-    return rows.groupBy(key).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    rows = rows.select(key, s.isin(TRAIN).alias("t"), s.isin(EVALUATION).alias("e")).filter("t or e")
+    return rows.groupBy(key).agg((F.max("t").cast("int") * INDEX + F.max("e").cast("int") * PROBE).alias("side"))
 
 
 def plane_runs(vectors: DataFrame, seed: int = 20) -> tuple[DataFrame, Layout]:
-    """Sign bits of random projections of (id, vec, lo, hi), as runs of three 20-bit segments, all in one matrix product."""
+    """Sign bits of random projections of (id, vec, side), as runs of three 20-bit segments, all in one matrix product."""
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = np.random.default_rng(seed).standard_normal((64, PLANES * SEGMENT)).astype(np.float32)
@@ -54,32 +53,28 @@ def plane_runs(vectors: DataFrame, seed: int = 20) -> tuple[DataFrame, Layout]:
             segment = sign.astype(np.int64) @ (1 << np.arange(SEGMENT, dtype=np.int64))
             run = segment << 2 * SEGMENT | np.roll(segment, -1, 1) << SEGMENT | np.roll(segment, -2, 1)
             runs = pa.ListArray.from_arrays(np.arange(0, run.size + 1, PLANES, dtype=np.int32), run.ravel())
-            yield pa.RecordBatch.from_arrays([b.column("id"), runs, b.column("lo"), b.column("hi")], ["id", "runs", "lo", "hi"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), runs, b.column("side")], ["id", "runs", "side"])
 
     layout = Layout([(SEGMENT, 2 * SEGMENT, 3 * SEGMENT)] * PLANES, (1, 2 * SEGMENT, RUN_LIMIT))
-    return vectors.select("id", "vec", "lo", "hi").mapInArrow(bits, "id bigint, runs array<bigint>, lo int, hi int"), layout
+    return vectors.select("id", "vec", "side").mapInArrow(bits, "id bigint, runs array<bigint>, side int"), layout
 
 
-def facing(a: str, b: str) -> Column:
-    return (F.col(f"{a}.lo") < F.col(f"{b}.hi")) | (F.col(f"{b}.lo") < F.col(f"{a}.hi"))
-
-
-def ordered(a: Column, b: Column) -> list[Column]:
-    return [F.least(a, b).alias("sha_a"), F.greatest(a, b).alias("sha_b")]
+def _facing(met: DataFrame) -> DataFrame:
+    """Of pairs of an index and a probing row, those of different digests of which the first is in train, the second in
+    evaluation (a code may be on both sides by different digests)."""
+    one, two = (F.col(f"{x}.side").bitwiseAND(F.lit(bit)) > 0 for x, bit in (("a", INDEX), ("b", PROBE)))
+    return met.filter(one & two & (F.col("a.digest") != F.col("b.digest")))
 
 
 def code_overlaps(own: DataFrame, radius: int, scratch: Scratch) -> DataFrame:
-    """(sha_a, sha_b) of different digests whose codes differ in at most ``radius`` bits and of which one is in train and
-    the other in evaluation. own: digest, code (64 hex digits), lo, hi."""
+    """(train, evaluation): different digests of the two sides whose codes differ in at most ``radius`` bits. own: digest, code
+    (64 hex digits), side."""
     own = scratch.keep(own.withColumn("id", F.xxhash64("code")))
-    codes = own.groupBy("id", "code").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("n"))
+    codes = own.groupBy("id", "code").agg(F.bit_or("side").alias("side"))
     layout, runs = runs_of(F.col("code"), 64, radius)
-    near = matching(codes.select("id", runs.alias("runs"), "lo", "hi"), layout, own.count())
-    same = codes.filter((F.col("n") > 1) & (F.col("lo") < F.col("hi"))).select(F.col("id").alias("a"), F.col("id").alias("b"))
-    met = verified(own, near.union(same), scratch)
-    met = met.filter(facing("a", "b") & (F.col("a.digest") != F.col("b.digest")))
+    met = _facing(verified(own, matching(codes.select("id", runs.alias("runs"), "side"), layout, own.count()), scratch))
     met = met.filter(hamming(F.col("a.code"), F.col("b.code"), 64) <= radius)
-    return met.select(*ordered(F.col("a.digest"), F.col("b.digest")))
+    return met.select(F.col("a.digest").alias("train"), F.col("b.digest").alias("evaluation"))
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -88,21 +83,20 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def vector_overlaps(own: DataFrame, least: float, scratch: Scratch) -> DataFrame:
-    """The same for vectors of cosine ``least`` or more. own: digest, vec, lo, hi; one row per digest."""
+    """The same for vectors of cosine ``least`` or more. own: digest, vec, side; one row per digest."""
     own = scratch.keep(own.withColumn("id", F.xxhash64("digest")))
     segments, layout = plane_runs(own)
-    met = verified(own, matching(segments, layout, own.count()), scratch)
-    met = met.filter(facing("a", "b") & (F.col("a.digest") != F.col("b.digest")))
+    met = _facing(verified(own, matching(segments, layout, own.count()), scratch))
     met = met.filter(cosine(F.col("a.vec"), F.col("b.vec")) >= least)
-    return met.select(*ordered(F.col("a.digest"), F.col("b.digest")))
+    return met.select(F.col("a.digest").alias("train"), F.col("b.digest").alias("evaluation"))
 
 
-def overlaps(spark: SparkSession, metadata: DataFrame, phash: DataFrame, emb: DataFrame, radius: int = 24, least: float = 0.95) -> DataFrame:
-    """(sha_a, sha_b), sha_a <= sha_b: digests of which one is in train and the other in evaluation, equal or near.
+def directed_overlaps(spark: SparkSession, metadata: DataFrame, phash: DataFrame, emb: DataFrame, radius: int = 24, least: float = 0.95) -> DataFrame:
+    """(train, evaluation): digests of the two sides that are equal or near; a pair may come from code and vector.
 
-    A digest with rows on both sides comes out with itself. Null and unknown splits are neither side; digests without a
-    usable code or vector can only match as themselves; a digest with several codes matches by any of them, one with
-    several vectors by the greatest (they are copies). Empty tables give an empty result; other columns are ignored.
+    Null and unknown splits are neither side; digests without a usable code or vector can only match as themselves; a digest
+    with several codes matches by any of them, one with several vectors by the greatest (they are copies). Empty tables give
+    an empty result; other columns are ignored.
     """
     scratch = Scratch(spark, "cross-split")
     side = sides(metadata.select(digest(F.col("image_sha256")).alias("digest"), "split").filter("digest is not null"))
@@ -110,21 +104,27 @@ def overlaps(spark: SparkSession, metadata: DataFrame, phash: DataFrame, emb: Da
     codes = phash.select(digest(F.col("sha256")).alias("digest"), code(F.col("phash"), 64).alias("code")).dropna().distinct()
     vecs = emb.select(digest(F.col("key")).alias("digest"), "vec").filter(F.col("digest").isNotNull() & usable_vector(F.col("vec")))
     vecs = vecs.groupBy("digest").agg(F.max("vec").alias("vec"))
-    same = side.filter("lo < hi").select(F.col("digest").alias("sha_a"), F.col("digest").alias("sha_b"))
+    same = side.filter(F.col("side") == INDEX + PROBE).select(F.col("digest").alias("train"), F.col("digest").alias("evaluation"))
     by_code = code_overlaps(codes.join(side, "digest"), radius, scratch)
     by_vec = vector_overlaps(vecs.join(side, "digest"), least, scratch)
-    return by_code.union(by_vec).union(same).distinct()
+    return by_code.union(by_vec).union(same)
+
+
+def overlaps(spark: SparkSession, metadata: DataFrame, phash: DataFrame, emb: DataFrame, radius: int = 24, least: float = 0.95) -> DataFrame:
+    """(sha_a, sha_b), sha_a <= sha_b: digests of which one is in train and the other in evaluation, equal or near.
+
+    A digest with rows on both sides comes out with itself. See ``directed_overlaps`` for nulls, repeats and empty tables.
+    """
+    pairs = directed_overlaps(spark, metadata, phash, emb, radius, least)
+    return pairs.select(F.least("train", "evaluation").alias("sha_a"), F.greatest("train", "evaluation").alias("sha_b")).distinct()
 
 
 def overlap_report(spark: SparkSession, metadata: DataFrame, phash: DataFrame, emb: DataFrame) -> DataFrame:
-    """Number of evaluation images that are also in train, per split and source of the evaluation row: exact, near, all."""
-    pairs = overlaps(spark, metadata, phash, emb)
-    sided = pairs.select(F.explode(F.array("sha_a", "sha_b")).alias("digest"), (F.col("sha_a") == F.col("sha_b")).alias("exact"))
-    hit = sided.groupBy("digest").agg(F.max("exact").alias("exact"), F.min("exact").alias("only_exact"))
+    """(split, source_id, images, exact, near): evaluation images that are also in train, per split and source of the evaluation
+    row: all, those in train as the same digest, and those with a near copy of another digest in train. Digests count once per
+    split and source; a null source is a source of its own."""
+    pairs = directed_overlaps(spark, metadata, phash, emb)
+    hit = pairs.groupBy(F.col("evaluation").alias("digest")).agg(F.max(F.col("train") == F.col("evaluation")).alias("exact"), F.max(F.col("train") != F.col("evaluation")).alias("near"))
     rows = metadata.select(digest(F.col("image_sha256")).alias("digest"), word(F.col("split")).alias("split"), "source_id")
-    rows = rows.filter(F.col("split").isin(EVALUATION)).join(hit, "digest")
-    return rows.groupBy("split", "source_id").agg(
-        F.countDistinct("digest").alias("images"),
-        F.countDistinct(F.when(F.col("exact"), F.col("digest"))).alias("exact"),
-        F.countDistinct(F.when(~F.col("only_exact"), F.col("digest"))).alias("near"),
-    )
+    rows = rows.filter(F.col("split").isin(EVALUATION)).distinct().join(hit, "digest")
+    return rows.groupBy("split", "source_id").agg(F.count("*").alias("images"), F.count_if("exact").alias("exact"), F.count_if("near").alias("near"))

@@ -1,17 +1,20 @@
-"""Similarity join of bit codes by segments.
+"""Similarity join of bit codes by segments: an index side, and a side that probes it.
 
 A code is cut into ``m`` segments. If two codes differ in at most ``r`` bits, then on the ring of segments there is one
 from which on every run of ``l`` segments holds at most ``r*l/m`` differences (cycle lemma). So two codes can only match
 if, for some segment, the segment itself differs in at most ``r//m`` bits (0 or 1 here), and the runs of two and three
-segments that begin with it stay below their limits. One row per code and segment is shuffled: the 60 bits of the run
-and an 8 byte id, not the code. Inside a group the segment is a table index, its one-bit neighbours are looked up in it,
-and the runs leave practically only true matches, which are verified on the whole codes by the caller.
+segments that begin with it stay below their limits. Per code and segment 17 bytes are shuffled: the 60 bits of the run, an
+id and the side, packed per task and group into one row. Inside a group the segment is a table index of the index side; the
+probing side looks itself and its one-bit neighbours up, and the runs leave practically only true matches, which are verified
+on the whole codes by the caller. Codes of one side never meet each other.
 
 No pair within ``r`` bits is lost, whatever the data; there is no cap.
 
-Groups stay bounded: above ``GROUP_ROWS`` codes the leading ``h`` bits of the segment become part of the group key (and a
-code also visits the groups whose leading bits differ in one bit), and a group that is still larger, because a third of
-all codes may share a segment, is cut into pieces of which every two meet in one cell.
+Groups: the leading ``h`` bits of the segment are part of the group key, so that groups hold about ``GROUP_ROWS`` codes and
+there are more groups than cores (a probe also visits the groups whose leading bits differ in one bit). A group that is still
+larger is cut into cells, in which each piece of one side meets each piece of the other. Where more than ``HOT`` codes share
+one value of a segment, the key is extended: the rest of the run is cut so that in every pair below the limit one part
+differs in at most one bit, and these parts are looked up in turn.
 """
 
 from __future__ import annotations
@@ -26,15 +29,20 @@ from pyspark.sql import functions as F
 
 from tidemill.session import Scratch
 
-#: Rows of one group in memory at once: about 30 MB of columns.
-GROUP_ROWS = 1 << 20
+#: Codes of a group aimed at, and codes of one side in memory at once (25 bytes each).
+GROUP_ROWS, CELL_ROWS = 1 << 16, 1 << 20
+#: Codes of one segment value from which on the key is extended.
+HOT = 1 << 11
 #: Ids of matched codes are broadcast up to this many (8 bytes each), to read only their rows; beyond it they are joined.
 BROADCAST_IDS = 1 << 19
-#: Candidate pairs expanded at once inside a group.
-CHUNK = 1 << 19
+#: Candidate pairs expanded at once inside a group; codes packed at once in a task.
+CHUNK, PACK_ROWS = 1 << 19, 1 << 16
 #: A run holds at most so many bits, to fit a bigint.
 RUN_BITS = 60
-
+#: Bits of a segment up to which its values are an array index (else they are searched for in sorted order).
+TABLE_BITS = 22
+#: Sides of a code, as bits.
+INDEX, PROBE = 1, 2
 
 class Layout:
     """How segments lie in a run: bits of the first segment, of two and of three, and their limits."""
@@ -80,111 +88,194 @@ def _expand(left: np.ndarray, begin: np.ndarray, count: np.ndarray) -> Iterator[
         c, b, rows = count[at:to], begin[at:to], left[at:to]
         if len(c) == 1 and c[0] > CHUNK:
             for k in range(0, int(c[0]), CHUNK):
-                n = min(CHUNK, int(c[0]) - k)
-                yield np.repeat(rows, n), b[0] + k + np.arange(n)
+                many = min(CHUNK, int(c[0]) - k)
+                yield np.repeat(rows, many), b[0] + k + np.arange(many)
         else:
             first = np.repeat(np.cumsum(c) - c, c)
             yield np.repeat(rows, c), np.arange(int(c.sum())) - first + np.repeat(b, c)
         at = to
 
 
-def _join_group(table: pa.Table, layout: Layout, prefix: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids of the pairs of one group that pass every limit. Home rows are matched among each other, visitors (of whom the
-    leading bits already differ in one) with home rows of equal remaining bits; pieces only across each other."""
-    col = lambda c: table.column(c).to_numpy(zero_copy_only=False)
-    seg = int(table.column("seg")[0].as_py())
-    run, ident, home, piece, lo, hi = (col(c) for c in ("run", "id", "home", "piece", "lo", "hi"))
+class _Index:
+    """Rows by the value of a key of so many bits: the rows of a value are order[begin : begin + count]."""
+
+    def __init__(self, key: np.ndarray, bits: int):
+        self.order = np.argsort(key, kind="stable")
+        if bits <= TABLE_BITS:
+            self.keys, self.start = None, np.zeros((1 << bits) + 1, np.int64)
+            np.cumsum(np.bincount(key, minlength=1 << bits), out=self.start[1:])
+        else:
+            self.keys = key[self.order]
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if self.keys is None:
+            return self.start[wanted], self.start[wanted + 1] - self.start[wanted]
+        begin = np.searchsorted(self.keys, wanted, "left")
+        return begin, np.searchsorted(self.keys, wanted, "right") - begin
+
+
+def _within_hot(index: np.ndarray, probe: np.ndarray, bits: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(position in index, position in probe) of pairs whose ``bits`` low bits may differ in at most ``most``: of most // 2 + 1
+    parts one differs in at most one bit. A pair may come several times."""
+    parts = min(most // 2 + 1, max(1, bits))
+    at = 0
+    for i in range(parts):
+        n = bits // parts + (i < bits % parts)
+        part = lambda v: (v >> at) & ((1 << n) - 1)  # noqa: B023, E731
+        table, own = _Index(part(index), n), part(probe)
+        for flip in [0, *(1 << b for b in range(n))] if most else [0]:
+            begin, count = table.find(own ^ flip)
+            for p, spot in _expand(np.arange(len(probe)), begin, count):
+                yield table.order[spot], p
+        at += n
+
+
+def match(index: tuple[np.ndarray, np.ndarray], probe: tuple[np.ndarray, np.ndarray], layout: Layout, seg: int, prefix: int, h: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(id of the index side, id of the probing side) of the pairs of one group that pass every limit. index, probe: ids and
+    runs; probes whose leading ``h`` bits are not the group's ``prefix`` are visitors, which have used their one difference."""
+    (ids, run), (other, want) = index, probe
+    if not len(ids) or not len(other):
+        return
     one, two, three = layout.bits[seg]
     most1, most2, most3 = layout.limits
+    free = one - h
+    low = (1 << free) - 1
     key = run >> (three - one)
-    cells = bool((piece != piece[0]).any()) if len(piece) else False
-    place = np.flatnonzero(home)
-    place = place[np.argsort(key[place], kind="stable")]
-    keys = key[place]
-    free = max(0, one - prefix)
-
-    def pairs(rows: np.ndarray, wanted: np.ndarray, after: bool):
-        begin = np.searchsorted(keys, wanted, "left")
-        if after:  # each pair of equal keys once
-            spot = np.empty(len(key), np.int64)
-            spot[place] = np.arange(len(place))
-            begin = spot[rows] + 1
-        count = np.searchsorted(keys, wanted, "right") - begin
-        for a, at in _expand(rows, begin, count):
-            b = place[at]
-            ok = (lo[a] < hi[b]) | (lo[b] < hi[a])
-            if cells:
-                ok &= piece[a] != piece[b]
-            a, b = a[ok], b[ok]
-            x = run[a] ^ run[b]
-            ok = np.bitwise_count(x) <= most3
-            a, b, x = a[ok], b[ok], x[ok]
-            ok = np.bitwise_count(x >> (three - two)) <= most2
-            a, b = a[ok], b[ok]
+    table = _Index(key & low, free)
+    order = np.argsort(want, kind="stable")  # neighbours in the table are looked up one after the other
+    other, want = other[order], want[order]
+    asked = want >> (three - one)
+    home = (asked >> free) == prefix
+
+    def passing(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x = run[a] ^ want[b]
+        ok = np.bitwise_count(x) <= most3
+        a, b, x = a[ok], b[ok], x[ok]
+        ok = np.bitwise_count(x >> (three - two)) <= most2
+        return ids[a[ok]], other[b[ok]]
+
+    for flip in [0, *(1 << bit for bit in range(free))] if most1 else [0]:
+        rows = np.flatnonzero(home) if flip else np.arange(len(other))
+        begin, count = table.find((asked[rows] & low) ^ flip)
+        hot = count > HOT
+        for p, spot in _expand(rows[~hot], begin[~hot], count[~hot]):
+            a, b = passing(table.order[spot], p)
             if len(a):
-                yield np.minimum(ident[a], ident[b]), np.maximum(ident[a], ident[b])
+                yield a, b
+        spots = np.flatnonzero(hot)
+        spots = spots[np.argsort(begin[spots], kind="stable")]
+        for mine in np.split(spots, np.flatnonzero(np.diff(begin[spots])) + 1) if len(spots) else ():
+            at = begin[mine[0]]
+            members, probes = table.order[at : at + count[mine[0]]], rows[mine]
+            for i, j in _within_hot(run[members], want[probes], three - one, most3):
+                a, b = passing(members[i], probes[j])
+                if len(a):
+                    yield a, b
+
+
+def packed(codes: DataFrame, layout: Layout, h: int, cut: dict[int, tuple[int, int]] | None = None) -> DataFrame:
+    """(grp, cell, body): the codes (id, runs, side) of each segment and prefix, packed per task. ``cut`` names groups of which
+    the index side is cut into the first, the probing side into the second number of pieces."""
+    shared = codes.sparkSession.sparkContext.broadcast(cut or {})
+    schema = pa.schema([("grp", pa.int64()), ("cell", pa.int32()), ("body", pa.binary())])
+
+    def send(part: pa.Table) -> Iterator[pa.RecordBatch]:
+        ids, side = (part.column(c).to_numpy() for c in ("id", "side"))
+        runs = part.column("runs").combine_chunks().flatten().to_numpy().reshape(len(part), -1)
+        for seg, (one, _, three) in enumerate(layout.bits):
+            run = runs[:, seg]
+            prefix = run >> (three - h)
+            rows, group, flag = [np.arange(len(ids))], [prefix], [side]
+            if layout.limits[0]:
+                asks = np.flatnonzero(side & PROBE)
+                for bit in range(h):
+                    rows.append(asks)
+                    group.append(prefix[asks] ^ (1 << bit))
+                    flag.append(np.full(len(asks), PROBE, side.dtype))
+            row, at, flag = np.concatenate(rows), np.concatenate(group), np.concatenate(flag)
+            order = np.argsort(at, kind="stable")
+            row, at, flag = row[order], at[order], flag[order]
+            edges = np.r_[np.flatnonzero(np.r_[True, at[1:] != at[:-1]]), len(at)]
+            out: tuple[list, list, list] = ([], [], [])
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                grp = (seg << h) | int(at[lo])
+                r, f = row[lo:hi], flag[lo:hi]
+                left, right = shared.value.get(grp, (1, 1))
+                for p in range(left):
+                    for q in range(right):
+                        keep = f & np.where(ids[r] % left == p, INDEX, 0) | f & np.where(ids[r] // left % right == q, PROBE, 0)
+                        x = np.flatnonzero(keep)
+                        if len(x):
+                            for c, v in zip(out, (grp, p * right + q, pack(ids[r[x]], run[r[x]], keep[x])), strict=True):
+                                c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(out, schema, strict=True)], schema=schema)
+
+    def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for b in batches:
+            held.append(b)
+            rows += len(b)
+            if rows >= PACK_ROWS:
+                yield from send(pa.Table.from_batches(held))
+                held, rows = [], 0
+        if rows:
+            yield from send(pa.Table.from_batches(held))
 
-    yield from pairs(place, keys, True)
-    if most1 >= 1:
-        for bit in range(free):
-            rows = place[(keys >> bit) & 1 == 0]
-            yield from pairs(rows, key[rows] | (1 << bit), False)
-        away = np.flatnonzero(~home)
-        if len(away):
-            # a visitor came with its leading bits changed to this group's; its own key is one leading bit less
-            yield from pairs(away, col("want")[away], False)
+    return codes.select("id", "runs", F.col("side").cast("int").alias("side")).mapInArrow(run_all, "grp bigint, cell int, body binary")
 
 
-def keyed(segments: DataFrame) -> DataFrame:
-    """One row per code and segment: id, lo, hi, seg, run."""
-    return segments.select("id", "lo", "hi", F.posexplode("runs").alias("seg", "run"))
+def pack(ids: np.ndarray, run: np.ndarray, side: np.ndarray) -> bytes:
+    return ids.astype(np.int64).tobytes() + run.astype(np.int64).tobytes() + side.astype(np.uint8).tobytes()
 
 
-def matching(segments: DataFrame, layout: Layout, n: int, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Pairs (a, b), a <= b by id, of codes that pass the limits of some segment; verify them on the codes.
+def unpack(bodies: list[bytes]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """(ids, runs) of the index side and of the probing side."""
+    ids, run, side = [], [], []
+    for b in bodies:
+        n = len(b) // 17
+        ids.append(np.frombuffer(b, np.int64, n))
+        run.append(np.frombuffer(b, np.int64, n, 8 * n))
+        side.append(np.frombuffer(b, np.uint8, n, 16 * n))
+    i, r, s = np.concatenate(ids), np.concatenate(run), np.concatenate(side)
+    left, right = (s & INDEX) > 0, (s & PROBE) > 0
+    return (i[left], r[left]), (i[right], r[right])
 
-    ``segments``: id bigint, runs array<bigint> (one run per segment), lo int, hi int, or the same as ``keyed`` gives it; n:
-    the number of codes. Only pairs with lo_a < hi_b or lo_b < hi_a come out (train before evaluation, accepted batch before
-    later batch).
+
+def leading_bits(layout: Layout, n: int, cores: int) -> int:
+    """Bits of a segment in the group key: groups of about GROUP_ROWS of n codes, and (of large inputs) two for each core."""
+    for_size = math.log2(max(1, n) / GROUP_ROWS) if n else 0
+    for_cores = math.log2(2 * cores / len(layout.bits)) if n > GROUP_ROWS // 8 else 0
+    return max(0, min(16, math.ceil(max(for_size, for_cores)), *(b[0] - 1 for b in layout.bits)))
+
+
+def matching(codes: DataFrame, layout: Layout, n: int, cell_rows: int = CELL_ROWS, h: int | None = None) -> DataFrame:
+    """Pairs (a, b) of ids, a of the index side and b of the probing side, that pass the limits of some segment; verify them
+    on the codes. A code on both sides is paired with itself.
+
+    codes: id bigint, runs array<bigint> (one run per segment), side int (INDEX, PROBE or both added); n: how many they are.
     """
-    spread = keyed(segments) if "runs" in segments.columns else segments
-    h = min(16, max(0, math.ceil(math.log2(max(1, n) / group_rows))), *(b[0] - 1 for b in layout.bits))
-    tail = F.element_at(F.array(*(F.lit(b[2] - b[0]) for b in layout.bits)), F.col("seg") + 1)
-    width = F.element_at(F.array(*(F.lit(b[0]) for b in layout.bits)), F.col("seg") + 1)
-    if h:
-        spread = spread.withColumn("_key", F.call_function("shiftright", "run", tail)).withColumn("_w", width)
-        top = F.call_function("shiftright", F.col("_key"), F.col("_w") - h)
-        visits = [F.struct(top.cast("int").alias("prefix"), F.lit(True).alias("home"), F.col("_key").alias("want"))]
-        if layout.limits[0] >= 1:
-            for bit in range(h):
-                flip = F.lit(1 << bit).cast("bigint")
-                moved = F.col("_key").bitwiseOR(F.call_function("shiftleft", flip, F.col("_w") - h))
-                visits.append(
-                    F.when(
-                        top.bitwiseAND(flip) == 0,
-                        F.struct(top.bitwiseOR(flip).cast("int").alias("prefix"), F.lit(False).alias("home"), moved.alias("want")),
-                    )
-                )
-        spread = spread.withColumn("_v", F.explode(F.array_compact(F.array(*visits)))).select("id", "lo", "hi", "seg", "run", "_v.*")
-    else:
-        spread = spread.withColumns({"prefix": F.lit(0), "home": F.lit(True), "want": F.lit(0).cast("bigint")})
-    if n > group_rows:
-        # groups that are still too large; at most (segments * copies * n / group_rows) rows
-        hot = spread.groupBy("seg", "prefix").count().filter(F.col("count") > 2 * group_rows)
-        hot = hot.select("seg", "prefix", F.ceil(F.col("count") / group_rows).cast("int").alias("pieces"))
-        spread = spread.join(hot, ["seg", "prefix"], "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
-        spread = spread.withColumn("piece", F.pmod(F.xxhash64("id", F.lit(7)), F.col("pieces")).cast("int"))
-        other = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
-        spread = spread.withColumn("_o", other)
-        spread = spread.withColumn("cell", F.concat_ws("-", F.least("piece", "_o"), F.greatest("piece", "_o"))).drop("_o", "pieces")
-    else:
-        spread = spread.withColumns({"piece": F.lit(0), "cell": F.lit("")})
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for a, b in _join_group(pa.Table.from_batches(list(batches)), layout, h):  # pairs leave chunk by chunk
+    h = leading_bits(layout, n, codes.sparkSession.sparkContext.defaultParallelism) if h is None else h
+    cut = {}
+    if n > cell_rows:
+        # how many codes each group holds: segments times 2**h numbers
+        tops = F.array(*(F.lit(b[2] - h) for b in layout.bits))
+        spread = codes.select("side", F.posexplode("runs").alias("seg", "run"))
+        grp = F.col("seg").cast("bigint") * (1 << h) + F.call_function("shiftright", "run", F.element_at(tops, F.col("seg") + 1))
+        size = lambda bit: F.count_if(F.col("side").bitwiseAND(F.lit(bit)) > 0)
+        sizes = spread.groupBy(grp.alias("grp")).agg(size(INDEX).alias("i"), size(PROBE).alias("p"))
+        held = {r["grp"]: (r["i"], r["p"]) for r in sizes.toLocalIterator()}
+        around = lambda g: sum(held.get(g ^ (1 << b), (0, 0))[1] for b in range(h)) if layout.limits[0] else 0
+        cut = {g: (-(-i // cell_rows) or 1, -(-(p + around(g)) // cell_rows) or 1) for g, (i, p) in held.items()}
+        cut = {g: c for g, c in cut.items() if c != (1, 1)}
+
+    def join(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bodies = [x for b in batches for x in b.column("body").to_pylist()]
+        index, probe = unpack(bodies)
+        grp = key[0].as_py()
+        for a, b in match(index, probe, layout, grp >> h, grp & ((1 << h) - 1), h):  # pairs leave chunk by chunk
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    found = spread.groupBy("seg", "prefix", "cell").applyInArrow(join, "a bigint, b bigint")
+    found = packed(codes, layout, h, cut).groupBy("grp", "cell").applyInArrow(join, "a bigint, b bigint")
     return found.distinct()
 
 

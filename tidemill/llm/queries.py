@@ -143,6 +143,11 @@ SQL: dict[str, str] = {
     "p2_found": f"""with {_PH}, {_VEC}, {_META}, side as (select g, bool_or(s in ('train', 'training')) as t, bool_or(s in ('val', 'validation', 'test', 'test_ood')) as e from md where g is not null and s is not null group by 1),
  near as (select a.g as a, b.g as b from codes a join codes b on a.g < b.g and {_bits('a.c', 'b.c')} <= 24 union select a, b from cosines where a < b and c >= 0.95)
  select a as sha_a, b as sha_b from near join side x on x.g = a join side y on y.g = b where (x.t and y.e) or (x.e and y.t) union all select g, g from side where t and e""",
+    "p2_report": f"""with {_PH}, {_VEC}, {_META}, side as (select g, bool_or(s in ('train', 'training')) as t, bool_or(s in ('val', 'validation', 'test', 'test_ood')) as e from md where g is not null and s is not null group by 1),
+ near as (select a.g as a, b.g as b from codes a join codes b on a.g <> b.g and {_bits('a.c', 'b.c')} <= 24 union select a, b from cosines where c >= 0.95),
+ hit as (select b as g, a = b as exact from (select a, b from near union all select g, g from side) join side x on x.g = a join side y on y.g = b where x.t and y.e),
+ best as (select g, bool_or(exact) as exact, bool_or(not exact) as near from hit group by 1)
+ select s as split, source_id, count(*) as images, count(*) filter (exact) as exact, count(*) filter (near) as near from (select distinct g, s, source_id from md where s in ('val', 'validation', 'test', 'test_ood')) join best using (g) group by 1, 2""",
     "p3_found": f"""with recursive rec as (select nullif({_digest('sha256')}, '') as g from phash union select nullif({_digest('sha256')}, '') from dhash),
  dh as (select distinct nullif({_digest('sha256')}, '') as g, lpad(regexp_replace({_word('dhash')}, '^0x', ''), 16, '0') as c from dhash where regexp_matches({_word('dhash')}, '^(0x)?[0-9a-f]{{1,16}}$')),
  star as (select g as a, min(g) over (partition by c) as b from dh where g is not null and c not in (repeat('0', 16), repeat('f', 16))),
@@ -158,5 +163,8 @@ SQL: dict[str, str] = {
     "p7_found": f"""with {_PH}, {_META}, d as (select row_id, batch, g, coalesce(cfg <> 'withheld', false) as ok from md where g is not null and batch is not null),
  near as (select a.g as a, b.g as b from codes a join codes b on a.g <> b.g and {_bits('a.c', 'b.c')} <= 24 union select g, g from d)
  select distinct least(x.row_id, y.row_id) as row_a, greatest(x.row_id, y.row_id) as row_b from near join d x on x.g = near.a join d y on y.g = near.b where x.batch < y.batch and x.ok""",
+    "p7_newest": f"""with {_PH}, {_META}, d as (select row_id, batch, g, coalesce(cfg <> 'withheld', false) as ok from md where g is not null and batch is not null),
+ near as (select a.g as a, b.g as b from codes a join codes b on a.g <> b.g and {_bits('a.c', 'b.c')} <= 24 union select g, g from d)
+ select distinct least(x.row_id, y.row_id) as row_a, greatest(x.row_id, y.row_id) as row_b from near join d x on x.g = near.a join d y on y.g = near.b where x.batch < y.batch and x.ok and y.batch = (select max(batch) from d)""",
     "p8_decoded": "select doc_id, coalesce(text, '') as text from documents",
 }
