@@ -131,6 +131,23 @@ def align_many(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return longest.max(0), most.max(0)
 
 
+def align_pairs(items: list[np.ndarray], docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(longest run of equal words, best local alignment score) of each item and the document beside it, as arrays of word
+    numbers (negative in a document where no item has the word); those alike in length are aligned together."""
+    size, length = (np.array([len(x) for x in side], np.int64) for side in (items, docs))
+    longest, best = np.zeros(len(items), np.int32), np.zeros(len(items), np.int32)
+    order = np.lexsort((length, size // 16))
+    order = order[(size[order] > 0) & (length[order] > 0)]
+    start = 0
+    while start < len(order):
+        x = order[start : start + NEAR_CELLS // int(size.max()) + 1]
+        x = x[: max(1, NEAR_WORDS // int(length[x].max()))]
+        a, b = _table([items[k] for k in x], -1), _table([docs[k] for k in x], -2, back=True)
+        longest[x], best[x] = align_many(np.ascontiguousarray(a.T), np.ascontiguousarray(b.T))
+        start += len(x)
+    return longest, best
+
+
 def _reach(held: np.ndarray) -> np.ndarray:
     """The most that any run of words of each row can score, if those held are all matched and the others are edits."""
     total = np.zeros((len(held), held.shape[1] + 1), np.int32)
@@ -216,16 +233,16 @@ def leaks(spark: SparkSession, documents: DataFrame, items: DataFrame, rare: flo
     met = pairs.join(text, "doc_id").join(items.select("item_id", F.col("text").alias("item")), "item_id")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut: dict[str, list[str]] = {}
-        for b in batches:
-            out = []
-            for doc, item in zip(b.column("doc").to_pylist(), b.column("item").to_pylist(), strict=True):
-                if len(cut) > 2000:
-                    cut.clear()
-                x = [cut[t] if t in cut else cut.setdefault(t, words(t)) for t in (item, doc)]
-                out.append((*align(*x), len(x[0])))
-            run, best, size = (pa.array(c, pa.int32()) for c in zip(*out, strict=True)) if out else (pa.array([], pa.int32()),) * 3
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("item_id"), run, best, size], ["doc_id", "item_id", "run", "score", "words"])
+        for whole in batches:
+            for at in range(0, len(whole), 2048):
+                b = whole.slice(at, 2048)
+                number: dict[str, int] = {}
+                cut = {t: np.array([number.setdefault(w, len(number)) for w in words(t)], np.int32) for t in set(b.column("item").to_pylist())}
+                own = [cut[t] for t in b.column("item").to_pylist()]
+                held = {t: np.array([number.get(w, -2) for w in words(t)], np.int32) for t in set(b.column("doc").to_pylist())}
+                run, best = align_pairs(own, [held[t] for t in b.column("doc").to_pylist()])
+                out = [b.column("doc_id"), b.column("item_id"), pa.array(run), pa.array(best), pa.array([len(x) for x in own], pa.int32())]
+                yield pa.RecordBatch.from_arrays(out, ["doc_id", "item_id", "run", "score", "words"])
 
     return met.select("doc_id", "item_id", "doc", "item").mapInArrow(score, "doc_id bigint, item_id bigint, run int, score int, words int")
 
