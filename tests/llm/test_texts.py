@@ -36,6 +36,29 @@ def test_segments_equal_the_whole(s):
     assert lookalike.one_form(s) == whole == lookalike.one_form(whole)
 
 
+def test_composed_and_separate_spellings_are_equal():
+    """For every assigned character, also between two others: composed, decomposed and as it is."""
+    for cp in range(0x110000):
+        c = chr(cp)
+        if unicodedata.category(c) in ("Cs", "Cn", "Co"):
+            continue
+        parts = unicodedata.normalize("NFD", c)
+        if parts != c or cp in lookalike.joins_before():
+            form = lookalike.one_form(c)
+            assert lookalike.one_form(parts) == form == lookalike.one_form(unicodedata.normalize("NFC", parts)), hex(cp)
+            assert lookalike.one_form(f"x{parts}y") == lookalike.one_form(f"x{c}y"), hex(cp)
+    for a, b in (("\u09c7\u09be", "\u09cb"), ("\u0bc6\u0bbe", "\u0bca"), ("\u0d46\u0d3e", "\u0d4a"), ("\u1025\u102e", "\u1026")):
+        assert lookalike.one_form(a) == lookalike.one_form(b)
+
+
+def test_every_look_alike_pair():
+    for latin, others in lookalike.ALIKE.items():
+        for c in others:
+            assert lookalike.one_form(f"a{c}b") == lookalike.one_form(f"a{latin}b") and lookalike.one_form(c + "\u0301") == lookalike.one_form(latin + "\u0301")
+    for joined, letters in lookalike.JOINED.items():
+        assert lookalike.one_form(joined) == lookalike.one_form(letters)
+
+
 def test_alike(spark):
     rows = [(1, "coral reef"), (2, "соral reef"), (3, "coral reef"), (4, None), (5, ""), (6, "​"), (7, " "), (8, " "), (9, "Coral reef"), (10, "x" * 200_000 + "а"), (11, "x" * 200_000 + "a"), (None, "coral reef")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"t": F.lit(1), "f": F.lit(2), "form": F.lit("z")})
@@ -108,6 +131,11 @@ def test_align_against_full_matrix():
                 h[i, j] = max(0, h[i - 1, j - 1] + (2 if x == y else -1), h[i - 1, j] - 1, h[i, j - 1] - 1)
                 run[i, j] = run[i - 1, j - 1] + 1 if x == y else 0
         assert leaks.align(a, b) == (run.max(), h.max())
+    texts = [[rng.choice("abcdefg") for _ in range(rng.randrange(40))] for _ in range(120)]
+    number = {c: i for i, c in enumerate("abcdef")}  # g is in no item
+    items, docs = [[w for w in t if w != "g"] for t in texts[:60]], texts[60:]
+    got = leaks.align_pairs(*([np.array([number.get(w, -2) for w in t], np.int32) for t in side] for side in (items, docs)))
+    assert list(zip(*(x.tolist() for x in got), strict=True)) == [leaks.align(a, b) for a, b in zip(items, docs, strict=True)]
 
 
 def library():

@@ -11,18 +11,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Letters whose whole glyph is drawn like a Latin letter (left), by script.
+# Letters whose whole glyph is drawn like the Latin letter on the left, after the confusable characters that the
+# Unicode Consortium publishes (UTS 39), as far as a letter of one script is drawn like one letter of another.
 ALIKE = {
     "a": "а", "c": "сϲ", "d": "ԁ", "e": "е", "g": "ɡ", "h": "һ", "i": "і", "j": "јϳ", "l": "ӏ", "o": "оο", "p": "рρ", "q": "ԛ",
     "s": "ѕ", "v": "νѵ", "w": "ԝ", "x": "х", "y": "у",
     "A": "АΑ", "B": "ВΒ", "C": "СϹ", "E": "ЕΕ", "F": "Ϝ", "G": "Ԍ", "H": "НΗ", "I": "ІΙӀ", "J": "ЈͿ", "K": "КΚ", "M": "МΜϺ", "N": "Ν", "O": "ОΟ", "P": "РΡ",
     "Q": "Ԛ", "S": "Ѕ", "T": "ТΤ", "V": "Ѵ", "W": "Ԝ", "X": "ХΧ", "Y": "ҮΥ", "Z": "Ζ",
+    "Æ": "Ӕ", "æ": "ӕ", "Ə": "Ә", "ə": "әǝ", "Ʒ": "Ӡ", "ʒ": "ӡ", "Ɵ": "Ө", "ɵ": "ө", "Ɛ": "Ԑ", "ɛ": "ԑ", "Ɔ": "Ͻ", "ɔ": "ͻ", "Ƨ": "Ꙅ", "ƨ": "ꙅ",
+    "ʙ": "в", "ʜ": "н", "ᴍ": "м", "ᴛ": "т", "ᴙ": "я", "ᴎ": "иͷ", "ᴦ": "г", "ᴨ": "п",
 }
 # Further glyphs shared by Greek and Cyrillic.
-ALIKE |= {"Γ": "Г", "Π": "П", "Φ": "Ф", "Λ": "Ʌ", "κ": "ĸк", "μ": "µ", "Ω": "Ω"}
+ALIKE |= {"Γ": "Г", "Π": "П", "Φ": "Ф", "Λ": "Ʌ", "κ": "ĸк", "μ": "µ", "Ω": "Ω", "Ͷ": "И", "Ψ": "Ѱ", "ψ": "ѱ"}
 # Hyphens, joined letters.
 HYPHENS = "\u2010\u2011\ufe63\uff0d"
-JOINED = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "ſt", "ﬆ": "st", "Ĳ": "IJ", "ĳ": "ij", "Ǉ": "LJ", "ǈ": "Lj", "ǉ": "lj", "Ǌ": "NJ", "ǋ": "Nj", "ǌ": "nj", "Ǳ": "DZ", "ǲ": "Dz", "ǳ": "dz"}
+JOINED = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "ſt", "ﬆ": "st", "Ĳ": "IJ", "ĳ": "ij", "Ǆ": "DŽ", "ǅ": "Dž", "ǆ": "dž", "Ǉ": "LJ", "ǈ": "Lj", "ǉ": "lj", "Ǌ": "NJ", "ǋ": "Nj", "ǌ": "nj", "Ǳ": "DZ", "ǲ": "Dz", "ǳ": "dz"}
 # Ranges of characters that draw nothing (default ignorable code points, and controls without effect on lines).
 NOTHING = "\x00-\x08\x0e-\x1f\x7f-\x84\x86-\x9f\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0\U000e0000-\U000e0fff"
 CONTROL = re.compile("[\x00-\x08\x0e-\x1f\x7f]")
@@ -30,13 +33,26 @@ CONTROL = re.compile("[\x00-\x08\x0e-\x1f\x7f]")
 SPACES = "\u00a0\u2000-\u200a\u202f\u205f\u3000"
 
 
+@cache
+def joins_before() -> frozenset[int]:
+    """Characters of which the quick check of composition says "maybe": some character and this one compose to another. They
+    are those that stand second in the decomposition of a character which composition gives back, and the vowels and finals
+    that make up Hangul syllables; many of them are letters of combining class 0."""
+    found = {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}
+    for cp in range(0x110000):
+        parts = unicodedata.decomposition(chr(cp)).split()
+        if len(parts) == 2 and parts[0][0] != "<" and unicodedata.is_normalized("NFC", chr(cp)):
+            found.add(int(parts[1], 16))
+    return frozenset(found)
+
+
 @cache
 def _tables() -> tuple[dict[int, str], re.Pattern]:
     """What a single character becomes (before composition), and the pattern of unstable segments with their context.
 
-    A character is stable if it becomes itself and the quick check of composition says that it neither combines with what
-    stands before it nor changes; a segment is a run of others with the one character before it, to which an accent in it
-    may attach.
+    A character is stable if it becomes itself, has combining class 0, and the quick check of composition says "yes" (it does
+    not change, and joins nothing before it); a segment is a run of others with the one character before it, to which what
+    stands in it may join.
     """
     to = {ord(c): k for k, v in ALIKE.items() for c in v}
     to |= {ord(c): "-" for c in HYPHENS} | {ord(k): v for k, v in JOINED.items()}
@@ -55,7 +71,7 @@ def _tables() -> tuple[dict[int, str], re.Pattern]:
             if kind in ("<wide>", "<narrow>", "<noBreak>"):
                 s = "".join(chr(int(x, 16)) for x in body.split())
                 to[cp] = "".join(to.get(ord(x), x) for x in s)
-        if cp in to or unicodedata.combining(c) or unicodedata.normalize("NFC", c) != c or 0x1161 <= cp <= 0x11C2:
+        if cp in to or unicodedata.combining(c) or not unicodedata.is_normalized("NFC", c) or cp in joins_before():
             unstable.append(cp)
         elif any(ord(x) in to for x in unicodedata.normalize("NFD", c)):  # an accented look-alike letter
             unstable.append(cp)
