@@ -49,10 +49,38 @@ def test_ear_clip_covers_the_ring():
         ring = star(rng, k)
         area = abs((ring[:, 0] * np.roll(ring[:, 1], -1) - np.roll(ring[:, 0], -1) * ring[:, 1]).sum()) / 2
         for r in (ring, ring[::-1], np.r_[ring, ring[:1]]):
-            t = N.ear_clip(r)
+            t, sure = N.ear_clip(r)
+            assert sure
             u, v = t[:, 1] - t[:, 0], t[:, 2] - t[:, 0]
             assert abs(np.abs(u[:, 0] * v[:, 1] - u[:, 1] * v[:, 0]).sum() / 2 - area) < 1e-9
-    assert len(N.ear_clip(np.array([[0, 0], [1, 1], [0, 0]]))) == 0 and len(N.ear_clip(np.array([[0, 0], [1, 0], [2, 0], [3, 0]]))) == 0
+    assert len(N.ear_clip(np.array([[0, 0], [1, 1], [0, 0]]))[0]) == 0 and len(N.ear_clip(np.array([[0, 0], [1, 0], [2, 0], [3, 0]]))[0]) == 0
+
+
+def test_ear_clip_of_a_long_coast():
+    """20,000 corners: far from quadratic, and the area is kept."""
+    a = np.linspace(0, 2 * np.pi, 20_000, endpoint=False)
+    r = 5 + 0.5 * np.sin(37 * a) + 0.2 * np.random.default_rng(3).uniform(-1, 1, len(a))
+    ring = np.stack([r * np.cos(a), r * np.sin(a)], 1)
+    t, sure = N.ear_clip(ring)
+    u, v = t[:, 1] - t[:, 0], t[:, 2] - t[:, 0]
+    area = abs((ring[:, 0] * np.roll(ring[:, 1], -1) - np.roll(ring[:, 0], -1) * ring[:, 1]).sum()) / 2
+    assert sure and abs((u[:, 0] * v[:, 1] - u[:, 1] * v[:, 0]).sum() / 2 - area) < 1e-6 and len(t) <= 19_998
+
+
+def test_self_crossing_rings_are_settled_by_even_odd():
+    rng = np.random.default_rng(8)
+    p = rng.uniform(-1, 11, (3000, 2))
+    for k in (4, 5, 8, 15):
+        ring = rng.uniform(0, 10, (k, 2))
+        assert (place([(5, ring)], p) == np.where(N.even_odd(p, ring), 5, -1)).all()
+
+
+def place(rings, p):
+    clipped = [N.ear_clip(r) for _, r in rings]
+    owner = np.concatenate([np.full(len(t), i) for i, (t, _) in enumerate(clipped)]) if rings else np.empty(0, int)
+    corners = np.concatenate([t for t, _ in clipped]) if rings else np.empty((0, 3, 2))
+    known = N.Regions(corners, owner, np.array([o for o, _ in rings], np.int64), np.array([s for _, s in clipped], bool))
+    return known.locate(p, [r for _, r in rings])
 
 
 def test_locate_equals_even_odd():
@@ -65,8 +93,23 @@ def test_locate_equals_even_odd():
     best = np.full(len(p), 99)
     for o, r in rings:
         best = np.where(N.even_odd(p, r), np.minimum(best, o), best)
-    assert (N.Regions(rings).locate(p) == np.where(best == 99, -1, best)).all()
-    assert (N.Regions([]).locate(p) == -1).all()
+    assert (place(rings, p) == np.where(best == 99, -1, best)).all()
+    assert (place([], p) == -1).all()
+
+
+def test_locate_by_cell_equals_the_broadcast(spark, monkeypatch):
+    """The same rows from one hierarchy and from one per grid cell, whose positions are cut into pieces."""
+    monkeypatch.setattr(N, "CELL_POINTS", 20)
+    rng = np.random.default_rng(12)
+    rings = [(int(rng.integers(0, 9)), star(rng, int(rng.integers(3, 40))) + rng.uniform(-6, 6, 2)) for _ in range(12)]
+    rings += [(3, rng.uniform(-3, 3, (9, 2))), (2, np.array([[0, 0], [2, 0], [2, 2], [0, 2]], float)), (2, np.array([[2, 0], [4, 0], [4, 2], [2, 2]], float))]
+    grid = np.stack(np.meshgrid(np.arange(-1, 5, 0.5), np.arange(-1, 3, 0.5)), -1).reshape(-1, 2)
+    p = np.concatenate([rng.uniform(-12, 12, (1500, 2)), grid, grid[:40], *[r for _, r in rings]])
+    o = spark.createDataFrame([(o, [(float(x), float(y)) for x, y in r]) for o, r in rings], "feature_ord int, ring array<struct<lon double, lat double>>")
+    df = spark.createDataFrame([(i, float(y), float(x)) for i, (x, y) in enumerate(p)], "i int, lat double, lon double")
+    one, many = ({(r.i, r.feature_ord) for r in N.locate(spark, df, o, most).collect()} for most in (None, 0))
+    own = place(rings, p)
+    assert one == many == {(i, int(f)) for i, f in enumerate(own) if f >= 0}
 
 
 def outlines(spark):
