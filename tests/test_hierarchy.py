@@ -57,6 +57,10 @@ def test_shapes(spark, name, parents):
     for k, r in got.items():
         if r.depth >= 0:
             assert {x for x, s in got.items() if s.depth >= 0 and s.root_key == r.root_key and r["first"] <= s["first"] <= r["last"]} == under[k]
+    pairs = [(r.ancestor, r.descendant, r.steps) for r in H.descendants(spark, table(spark, parents)).collect()]
+    levels = {k: want[k][1] for k in want}
+    assert len(pairs) == len(set(pairs)) and {p[:2] for p in pairs} == {(k, x) for k, u in under.items() for x in u if x != k}
+    assert all(n == levels[x] - levels[k] for k, x, n in pairs)
     assert {r.node_key: (r.root_key, r.depth) for r in H.hierarchy(spark, table(spark, parents)).collect()} == {k: v[:2] for k, v in want.items()}
 
 
@@ -71,3 +75,4 @@ def test_versions_spellings_and_nulls(spark):
 
 def test_empty(spark):
     assert H.hierarchy(spark, spark.createDataFrame([], SCHEMA)).count() == 0 and H.paths(spark, spark.createDataFrame([], SCHEMA)).count() == 0
+    assert H.descendants(spark, spark.createDataFrame([], SCHEMA)).count() == 0

@@ -86,9 +86,12 @@ def chains(nodes: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     on = heavy.select("node", F.lit(True).alias("heavy"))
     walk = tree.join(on, "node", "left").select("node", F.when(F.col("heavy"), F.col("parent")).alias("up"))
     walk = scratch.keep(walk.select("node", F.coalesce("up", "node").alias("head"), F.when(F.col("up").isNotNull(), 1).otherwise(0).alias("place")))
-    while True:
-        step = walk.select(F.col("node").alias("head"), F.col("head").alias("head2"), F.col("place").alias("more"))
-        new = scratch.keep(walk.join(step, "head").select("node", F.col("head2").alias("head"), (F.col("place") + F.col("more")).alias("place"), (F.col("more") > 0).alias("moved")))
+    while True:  # three jumps a round: what is known reaches four times as far, for one table written
+        new = walk.select("node", F.col("head").alias("h0"), F.col("place").alias("p0"))
+        for i in range(3):
+            step = walk.select(F.col("node").alias(f"h{i}"), F.col("head").alias(f"h{i + 1}"), F.col("place").alias("more"))
+            new = new.join(step, f"h{i}").select("node", f"h{i + 1}", (F.col(f"p{i}") + F.col("more")).alias(f"p{i + 1}"), (F.col("more") > 0).alias("moved"))
+        new = scratch.keep(new.select("node", F.col("h3").alias("head"), F.col("p3").alias("place"), "moved"))
         scratch.drop(walk)
         walk = new.drop("moved")
         walk._scratch_path = new._scratch_path
@@ -186,3 +189,30 @@ def paths(spark: SparkSession, rows: DataFrame) -> DataFrame:
     none = lambda n, t: F.lit(None).cast(t).alias(n)
     bad = tree.filter("depth < 0").select("node_key", "root_key", "depth", none("path", "string"), none("ranks", "string"), none("first", "bigint"), none("last", "bigint"))
     return each.union(bad)
+
+
+def descendants(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """(ancestor, descendant, steps) of every node that reaches a root and every node above it; steps are the levels between.
+
+    The nodes above a node are the beginnings of at most log2(n) chains: its own up to its place, and each chain that one hangs
+    on up to where it does. These intervals go down the tree of chains; then one join by chain and place lists the pairs, whose
+    number is the sum of all depths. Nodes on or below a cycle have no pairs.
+    """
+    scratch = Scratch(spark, "descendants")
+    tree = scratch.keep(hierarchy(spark, rows, scratch).filter("depth >= 0").select("node_key", "parent", "depth", "head", "place"))
+    hang = tree.filter("place = 0").select("head", F.col("parent").alias("hang"))
+    at = tree.select(F.col("node_key").alias("hang"), F.col("head").alias("above"), F.col("place").alias("upto"))
+    links = scratch.keep(hang.join(at, "hang", "left").select("head", "above", "upto"))
+    known = fresh = scratch.keep(links.filter("above is null").select("head", F.expr("cast(array() as array<struct<above: string, upto: int>>)").alias("spans")))
+    while True:
+        base = fresh.select(F.col("head").alias("above"), "spans")
+        fresh = links.join(base, "above").select("head", F.concat("spans", F.array(F.struct("above", "upto"))).alias("spans"))
+        fresh = scratch.keep(fresh)
+        if fresh.isEmpty():
+            break
+        known = known.union(fresh)
+    own = F.array(F.struct(F.col("head").alias("above"), (F.col("place") - 1).cast("int").alias("upto")))
+    spans = tree.join(known, "head").select(F.col("node_key").alias("descendant"), F.col("depth").alias("deep"), F.explode(F.concat("spans", own)).alias("s"))
+    spans = spans.select("descendant", "deep", F.col("s.above").alias("head"), F.col("s.upto").alias("upto")).filter("upto >= 0")
+    met = spans.join(tree.select(F.col("node_key").alias("ancestor"), "depth", "head", "place"), "head").filter("place <= upto")
+    return met.select("ancestor", "descendant", (F.col("deep") - F.col("depth")).cast("int").alias("steps"))

@@ -25,6 +25,11 @@ def p6_descendants(spark: SparkSession, d: str) -> DataFrame:
     return t.filter("depth >= 0").selectExpr("node_key", "root_key", "last - first as descendants")
 
 
+def p6_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Every node with every node above it, from chain intervals."""
+    return hierarchy.descendants(spark, spark.read.parquet(f"{d}/taxonomy.parquet"))
+
+
 NODES = """
 n0 as (
   select lower(trim(key)) as node, nullif(lower(trim(parent)), '') as parent, nullif(lower(trim(rank)), '') as rank,
@@ -55,7 +60,7 @@ NEAR = f"""with m as (select row_id, source_id, coalesce(location_generalized, f
  select distinct 'site' as kind, m.row_id, s.site_id as other from m join s on abs(m.lat - s.lat) < 0.01 and {FAR('m', 's')} <= 300 where not m.vague
  union all select 'image', least(a.row_id, b.row_id), greatest(a.row_id, b.row_id)::varchar from m a join m b on a.row_id < b.row_id and a.source_id <> b.source_id and abs(a.lat - b.lat) < 0.001 and {FAR('a', 'b')} <= 20 where not a.vague and not b.vague
  union all select 'region', row_id, min(feature_ord)::varchar from x where n % 2 = 1 group by 2"""
-QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_paths": p6_paths, "p6_descendants": p6_descendants}
+QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_paths": p6_paths, "p6_descendants": p6_descendants, "p6_pairs": p6_pairs}
 SQL = {
     "p1_found": NEAR,
     "p6_found": f"with recursive {NODES}, {TREE}, {ROUND} select node as node_key, root as root_key, depth from t union all select node, root, -1 from bad_root",
@@ -64,4 +69,8 @@ SQL = {
 up as (select node, parent as above from n where node in (select node from t) and parent is not null
   union all select u.node, n.parent from up u join n on u.above = n.node where n.parent is not null)
 select t.node as node_key, t.root as root_key, count(u.node) as descendants from t left join up u on u.above = t.node group by 1, 2""",
+    "p6_pairs": f"""with recursive {NODES}, {TREE},
+up as (select node, parent as above, 1 as steps from n where node in (select node from t) and parent is not null
+  union all select u.node, n.parent, u.steps + 1 from up u join n on u.above = n.node where n.parent is not null)
+select above as ancestor, node as descendant, steps from up""",
 }
