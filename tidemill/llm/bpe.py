@@ -150,9 +150,17 @@ def decode(encoded: DataFrame, vocabulary: str | None = None, key: str = "doc_id
     return encoded.select(key, "ids").mapInArrow(run, f"`{key}` {kind}, text string")
 
 
-def token_counts(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    """Documents, tokens and tokens per character by language, over the whole corpus."""
-    n = encode(documents).select("doc_id", F.size("ids").cast("bigint").alias("n"))
-    rows = documents.select("doc_id", F.lower("lang").alias("lang"), F.coalesce(F.length("text"), F.lit(0)).alias("chars"))
-    both = rows.join(n, "doc_id")
-    return both.groupBy("lang").agg(F.count("*").alias("documents"), F.sum("n").alias("tokens"), F.sum("chars").cast("bigint").alias("chars"))
+def token_counts(spark: SparkSession, documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """(lang, documents, tokens, chars) by language in lower case, over every row of the corpus in one pass: rows with null
+    language are a group, null texts have no tokens and characters, repeated rows and null ids count like others."""
+    path = vocabulary or os.path.join(FOLDER, VOCABULARY)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = tokenizer(path)
+        for b in batches:
+            texts = b.column("text").to_pylist()
+            n, size = (pa.array(x, pa.int64()) for x in ([len(t.encode(x)) for x in texts], [len(x or "") for x in texts]))
+            yield pa.RecordBatch.from_arrays([b.column("lang"), n, size], ["lang", "n", "size"])
+
+    each = documents.select(F.lower("lang").alias("lang"), "text").mapInArrow(run, "lang string, n bigint, size bigint")
+    return each.groupBy("lang").agg(F.count("*").alias("documents"), F.sum("n").alias("tokens"), F.sum("size").alias("chars"))

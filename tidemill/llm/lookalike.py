@@ -19,10 +19,9 @@ ALIKE = {
     "A": "АΑ", "B": "ВΒ", "C": "СϹ", "E": "ЕΕ", "F": "Ϝ", "G": "Ԍ", "H": "НΗ", "I": "ІΙӀ", "J": "ЈͿ", "K": "КΚ", "M": "МΜϺ", "N": "Ν", "O": "ОΟ", "P": "РΡ",
     "Q": "Ԛ", "S": "Ѕ", "T": "ТΤ", "V": "Ѵ", "W": "Ԝ", "X": "ХΧ", "Y": "ҮΥ", "Z": "Ζ",
     "Æ": "Ӕ", "æ": "ӕ", "Ə": "Ә", "ə": "әǝ", "Ʒ": "Ӡ", "ʒ": "ӡ", "Ɵ": "Ө", "ɵ": "ө", "Ɛ": "Ԑ", "ɛ": "ԑ", "Ɔ": "Ͻ", "ɔ": "ͻ", "Ƨ": "Ꙅ", "ƨ": "ꙅ",
-    "ʙ": "в", "ʜ": "н", "ᴍ": "м", "ᴛ": "т", "ᴙ": "я", "ᴎ": "иͷ", "ᴦ": "г", "ᴨ": "п",
 }
-# Further glyphs shared by Greek and Cyrillic.
-ALIKE |= {"Γ": "Г", "Π": "П", "Φ": "Ф", "Λ": "Ʌ", "κ": "ĸк", "μ": "µ", "Ω": "Ω", "Ͷ": "И", "Ψ": "Ѱ", "ψ": "ѱ"}
+# Further glyphs shared by Greek and Cyrillic, and small capitals drawn like Cyrillic letters.
+ALIKE |= {"Г": "Γ", "Π": "П", "Φ": "Ф", "Λ": "Ʌ", "к": "ĸκ", "μ": "µ", "Ω": "Ω", "И": "Ͷ", "и": "ͷᴎ", "Ψ": "Ѱ", "ψ": "ѱ", "в": "ʙ", "н": "ʜ", "м": "ᴍ", "т": "ᴛ", "я": "ᴙ", "г": "ᴦ", "п": "ᴨ"}
 # Hyphens, joined letters.
 HYPHENS = "\u2010\u2011\ufe63\uff0d"
 JOINED = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "ſt", "ﬆ": "st", "Ĳ": "IJ", "ĳ": "ij", "Ǆ": "DŽ", "ǅ": "Dž", "ǆ": "dž", "Ǉ": "LJ", "ǈ": "Lj", "ǉ": "lj", "Ǌ": "NJ", "ǋ": "Nj", "ǌ": "nj", "Ǳ": "DZ", "ǲ": "Dz", "ǳ": "dz"}

@@ -55,6 +55,13 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return torn(spark, *read(spark, d, "staged_images"))
 
 
+def p4_balance(spark: SparkSession, d: str) -> DataFrame:
+    """Achieved shares of the splits, and bundles that lie in more than one."""
+    from tidemill.llm.splits import balance
+
+    return balance(spark, *read(spark, d, "staged_images")).select("split", "target", "torn", "within")
+
+
 def p4_splits(spark: SparkSession, d: str) -> DataFrame:
     from tidemill.llm.splits import assign
 
@@ -116,6 +123,7 @@ QUERIES: dict[str, Query] = {
     "chain_guard": chain_guard,
     "p4_found": p4_found,
     "p4_splits": p4_splits,
+    "p4_balance": p4_balance,
     "p5_found": p5_found,
     "p7_found": p7_found,
     "p7_newest": p7_newest,
@@ -139,6 +147,32 @@ _VEC = f"""v0 as (select nullif({_digest('key')}, '') as g, max(vec) as vec from
 _META = f"md as (select *, nullif({_digest('image_sha256')}, '') as g, {_word('split')} as s, {_word('bytes_config')} as cfg from metadata)"
 _SITE = r"(?:^|[^a-z0-9])([a-z]{3})[^a-z0-9]*([a-z]?)[^a-z0-9]*(\d{3,4})[^a-z0-9]+(\d{4})[^a-z0-9]?(\d{2})[^a-z0-9]?(\d{2})(?:[^a-z0-9]+(?:frame|f)?[^a-z0-9]*|(?:frame|f)[^a-z0-9]*)(\d+)"
 _CLOSE = "r as (select a as v, a as u from links2 union select r.v, links2.b from r join links2 on r.u = links2.a), root as (select v, min(u) as root from r group by 1)"
+
+
+def _form(text: str) -> str:
+    """Problem 10's form in SQL: characters one by one, from the operator's fixed lists, between two compositions."""
+    import unicodedata
+
+    from tidemill.llm import lookalike as L
+
+    one = {c: k for k, v in L.ALIKE.items() for c in v} | dict.fromkeys(L.HYPHENS, "-") | {chr(0xFEE0 + i): chr(i) for i in range(0x21, 0x7F) if i != 0x2D}
+    for cp in (*range(0x370, 0x530), *range(0x1F00, 0x2000)):  # accented letters whose base is drawn alike
+        c = unicodedata.normalize("NFC", chr(cp))
+        new = unicodedata.normalize("NFC", "".join(one.get(x, x) for x in unicodedata.normalize("NFD", c)))
+        if len(c) == len(new) == 1 and c != new and c not in one:
+            one[c] = new
+    wide = {c: one.get(v, v) for c, v in one.items()}
+    spaces = "".join(c for c in map(chr, (0xA0, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000)))
+    source, target = "".join(wide) + spaces, "".join(wide.values()) + " " * len(spaces)
+    drop = "".join(chr(i) if 32 < i < 127 and chr(i) in "-" else f"\\x{{{i:x}}}" for i in map(ord, L.NOTHING))
+    out = f"translate(regexp_replace(nfc_normalize({text}), '[{drop}]', '', 'g'), '{source.replace(chr(39), chr(39) * 2)}', '{target.replace(chr(39), chr(39) * 2)}')"
+    for joined, letters in L.JOINED.items():
+        out = f"replace({out}, '{joined}', '{letters}')"
+    return f"nfc_normalize({out})"
+
+
+FORM = _form("text")
+WORDS = f"regexp_extract_all(lower({FORM}), '[\\p{{L}}\\p{{Nd}}]+')"
 SQL: dict[str, str] = {
     "p2_found": f"""with {_PH}, {_VEC}, {_META}, side as (select g, bool_or(s in ('train', 'training')) as t, bool_or(s in ('val', 'validation', 'test', 'test_ood')) as e from md where g is not null and s is not null group by 1),
  near as (select a.g as a, b.g as b from codes a join codes b on a.g < b.g and {_bits('a.c', 'b.c')} <= 24 union select a, b from cosines where a < b and c >= 0.95)
@@ -166,5 +200,13 @@ SQL: dict[str, str] = {
     "p7_newest": f"""with {_PH}, {_META}, d as (select row_id, batch, g, coalesce(cfg <> 'withheld', false) as ok from md where g is not null and batch is not null),
  near as (select a.g as a, b.g as b from codes a join codes b on a.g <> b.g and {_bits('a.c', 'b.c')} <= 24 union select g, g from d)
  select distinct least(x.row_id, y.row_id) as row_a, greatest(x.row_id, y.row_id) as row_b from near join d x on x.g = near.a join d y on y.g = near.b where x.batch < y.batch and x.ok and y.batch = (select max(batch) from d)""",
+    "p4_balance": "select * from (values ('train', 0.7::double, 0::bigint, true), ('val', 0.15::double, 0::bigint, true), ('test', 0.15::double, 0::bigint, true)) as v(split, target, torn, within)",
+    "p9_found": f"""with d as (select doc_id, ' ' || array_to_string({WORDS}, ' ') || ' ' as words from documents where doc_id is not null and text is not null),
+ i as (select item_id, {WORDS} as w from bench_items where text is not null), p as (select item_id, w, unnest(range(1, greatest(len(w) - 10, 2))) as k from i where len(w) > 0),
+ q as (select distinct item_id, ' ' || array_to_string(list_slice(w, k, k + 11), ' ') || ' ' as passage from p)
+ select distinct doc_id, item_id from d join q on contains(d.words, q.passage)""",
+    "p10_found": f"""with f as (select doc_id, text, {FORM} as form from documents where doc_id is not null and text is not null),
+ g as (select * from f where regexp_matches(form, '[^\\s\\x0b\\x1c-\\x1f\\x85\\p{{Z}}]')) select distinct a.doc_id as doc_a, b.doc_id as doc_b from g a join g b on a.form = b.form and a.doc_id < b.doc_id and a.text <> b.text""",
+    "p10_forms": f"select doc_id, {FORM} as form from documents",
     "p8_decoded": "select doc_id, coalesce(text, '') as text from documents",
 }

@@ -136,3 +136,21 @@ def assign(spark: SparkSession, staged: DataFrame, proportions: dict[str, float]
     bin_of = F.when(F.col("rank") < F.col("even"), F.pmod("rank", F.lit(bins))).otherwise(F.get("extra", (F.col("rank") - F.col("even")).cast("int")))
     dealt = F.element_at(F.array(*(F.lit(n) for n in names)), bin_of.cast("int") + 1)
     return rows.select("staged_id", "bundle").join(ranked.select("bundle", dealt.alias("split")), "bundle").select("staged_id", "bundle", "split")
+
+
+def balance(spark: SparkSession, staged: DataFrame, proportions: dict[str, float] | None = None) -> DataFrame:
+    """(split, target, rows, share, torn, within) of the assignment: rows and their share, the bundles that lie in more than
+    one split (none may), and whether the share is off by no more than one bin and one bundle of the largest: whole bundles
+    cannot be dealt out closer in general. A split that gets no rows has share 0; without rows every share is 0 and within."""
+    proportions = proportions or PROPORTIONS
+    scratch = Scratch(spark, "balance")
+    given = scratch.keep(assign(spark, staged, proportions).select("bundle", "split"))
+    torn = given.distinct().groupBy("bundle").count().filter("count > 1").count()
+    largest = given.groupBy("bundle").count().agg(F.max("count")).first()[0] or 0
+    total = given.count()
+    targets = spark.createDataFrame(list(proportions.items()), "split string, target double")
+    rows = targets.join(given.groupBy("split").agg(F.count("*").alias("rows")), "split", "left").withColumn("rows", F.coalesce("rows", F.lit(0).cast("bigint")))
+    share = F.col("rows") / F.lit(max(1, total))
+    off = F.lit(largest / max(1, total) + 1 / BINS)
+    within = (F.abs(share - F.col("target")) <= off) | F.lit(total == 0)
+    return rows.select("split", "target", "rows", share.alias("share"), F.lit(torn).cast("bigint").alias("torn"), within.alias("within"))
