@@ -99,3 +99,33 @@ def wilson(k: Column, n: Column, z: float = 1.959963984540054) -> tuple[Column,
     some = n > 0  # least and greatest skip nulls
     low, high = F.greatest(F.lit(0.0), (middle - spread) / scale), F.least(F.lit(1.0), (middle + spread) / scale)
     return F.when(some, low).otherwise(0.0), F.when(some, high).otherwise(0.0)
+
+
+# How a caption may name a state, and the state it names.
+BLEACHING = {"healthy": "HEALTHY", "bleached": "BLEACHED", "bleaching": "BLEACHED", "pale": "BLEACHED", "unhealthy": "UNHEALTHY", "diseased": "UNHEALTHY"}
+# How a caption may name what covers the ground, and its class.
+GROUND = {"hard coral": "HC", "soft coral": "SC", "coral rubble": "RB", "sand": "SD", "algae": "ALG", "rock": "RCK", "sponge": "SP"}
+
+
+def named_states(caption: Column, terms: dict[str, str]) -> Column:
+    """The states that a caption names, sorted; none for null."""
+    low = F.lower(F.coalesce(caption, F.lit("")))
+    return F.array_sort(F.array_distinct(F.array_compact(F.array(*(F.when(F.contains(low, F.lit(k)), v) for k, v in terms.items())))))
+
+
+def caption_flag(caption: Column, label: Column, terms: dict[str, str], axis: str) -> Column:
+    """"axis:caption=A,B!=label=C" where a caption names states and the label, if there is one, is none of them; else null."""
+    named = named_states(caption, terms)
+    clash = (F.size(named) > 0) & label.isNotNull() & (label != "") & ~F.array_contains(named, label)
+    return F.when(clash, F.concat(F.lit(f"{axis}:caption="), F.array_join(named, ","), F.lit("!=label="), label))
+
+
+def allowed(licence: Column, licences: list[str]) -> Column:
+    """Whether a licence is on a list, as it stands; null is on none. A plain comparison, so that a scan filters by it."""
+    return F.coalesce(licence.isin(licences), F.lit(False))
+
+
+def uuid_in(*texts: Column) -> Column:
+    """The first uuid that stands in one of the texts, in lower case; null where none holds one."""
+    pattern = "[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
+    return F.coalesce(*(F.nullif(F.regexp_extract(F.lower(c), pattern, 0), F.lit("")) for c in texts))

@@ -216,3 +216,14 @@ def descendants(spark: SparkSession, rows: DataFrame) -> DataFrame:
     spans = spans.select("descendant", "deep", F.col("s.above").alias("head"), F.col("s.upto").alias("upto")).filter("upto >= 0")
     met = spans.join(tree.select(F.col("node_key").alias("ancestor"), "depth", "head", "place"), "head").filter("place <= upto")
     return met.select("ancestor", "descendant", (F.col("deep") - F.col("depth")).cast("int").alias("steps"))
+
+
+def nearest_of_rank(spark: SparkSession, rows: DataFrame, ranks: list[str]) -> DataFrame:
+    """(node_key, rank, code): every node with its rank and the nearest node of one of the ranks, itself or above it; null where
+    there is none and on or below a cycle."""
+    scratch = Scratch(spark, "facts")
+    nodes = scratch.keep(current_nodes(rows))
+    wanted = nodes.filter(F.col("rank").isin(ranks)).select(F.col("node").alias("ancestor"))
+    pairs = descendants(spark, rows).select("ancestor", "descendant", "steps").union(nodes.select("node", "node", F.lit(0)))
+    near = pairs.join(wanted, "ancestor", "left_semi").groupBy(F.col("descendant").alias("node")).agg(F.min_by("ancestor", "steps").alias("code"))
+    return nodes.join(near, "node", "left").select(F.col("node").alias("node_key"), "rank", "code")

@@ -137,3 +137,41 @@ def first_of(df: DataFrame, group: str, key: str, n: int, buckets: int = 64) ->
     w = Window.partitionBy(group, "b").orderBy(key)
     x = df.select(group, key, F.pmod(F.xxhash64(key), F.lit(buckets)).alias("b")).withColumn("r", F.row_number().over(w)).filter(F.col("r") <= n)
     return x.groupBy(group).agg(F.slice(F.array_sort(F.collect_list(key)), 1, n).alias("first"))
+
+
+def lagged(df: DataFrame, order: list[str], taken: list[str], suffix: str = "_before") -> DataFrame:
+    """Adds the values that the columns ``taken`` have in the row before, in the total order of the columns, without one task for
+    it or for a hot key: within sorted partitions by a window, across them by the last row of each partition."""
+    x = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    x = Scratch(df.sparkSession, "lagged").keep(x).withColumn("_p", F.call_function("shiftright", "_at", F.lit(33)))
+    last = x.groupBy("_p").agg(F.max_by(F.struct(*taken), "_at").alias("_l"))
+    last = last.select("_p", F.lag("_l").over(Window.orderBy("_p")).alias("_l"))  # a row per partition
+    here = Window.partitionBy("_p").orderBy("_at")
+    x = x.withColumns({"_r": F.row_number().over(here), "_h": F.lag(F.struct(*taken)).over(here)}).join(F.broadcast(last), "_p")
+    before = F.when(F.col("_r") == 1, F.col("_l")).otherwise(F.col("_h"))
+    return x.select(*df.columns, *(before[c].alias(f"{c}{suffix}") for c in taken))
+
+
+def half_equal(sizes: dict[str, int], n: int) -> dict[str, int]:
+    """How many of ``n`` rows each stratum gives: half of them shared equally, half by size, none more than it has; what is then
+    missing comes one by one from the stratum with most rows left, what is too much is taken from the largest share (ties: the
+    last name). Works on the driver on one number per stratum."""
+    if not sizes:
+        return {}
+    total = sum(sizes.values())
+    share = {k: min(size, int(n / 2 / len(sizes)) + round(n / 2 * size / max(1, total))) for k, size in sizes.items()}
+    while sum(share.values()) < min(n, total):
+        share[max((k for k in sizes if share[k] < sizes[k]), key=lambda k: (sizes[k] - share[k], k))] += 1
+    while sum(share.values()) > n:
+        share[max(share, key=lambda k: (share[k], k))] -= 1
+    return share
+
+
+def half_equal_sample(df: DataFrame, stratum: str, key: str, n: int, seed: str = "0") -> DataFrame:
+    """A sample of ``n`` rows by ``half_equal``, with ``weight``: the rows that each one stands for. Null strata are left out."""
+    df = df.filter(F.col(stratum).isNotNull())
+    sizes = {str(r[0]): r[1] for r in df.groupBy(F.col(stratum).cast("string")).count().collect()}  # one number per stratum
+    share = half_equal(sizes, n)
+    table = df.sparkSession.createDataFrame([(k, m, sizes[k] / m if m else None) for k, m in share.items()], "_k string, quota int, weight double")
+    x = df.join(table, F.col(stratum).cast("string") == F.col("_k")).drop("_k")
+    return first_rows(x, [stratum], [draw(key, seed=seed), F.col(key)], F.col("quota"), F.col(key)).drop("quota")

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.plans import curation, grouping, measures, ordering, problems, quality, relations, resolution, scalars, storage, streams
+from tidemill.plans import curation, grouping, layouts, measures, ordering, problems, quality, relations, resolution, scalars, storage, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = [problems, scalars, relations, ordering, measures, quality, streams, grouping, storage, curation, resolution]
+MODULES = [problems, layouts, scalars, relations, ordering, measures, quality, streams, grouping, storage, curation, resolution]
 
 
 def queries() -> dict[str, Query]:

@@ -13,6 +13,7 @@ from tidemill.operators import curate as K
 from tidemill.operators import relate as R
 from tidemill.operators import sample as S
 from tidemill.plans.measures import SCO, scored
+from tidemill.plans.problems import NODES
 from tidemill.plans.relations import DH, D64, HAM, codes, images
 from tidemill.plans.scalars import LICENCE, SPLIT, WORD, t
 from tidemill.session import shared_dir
@@ -252,7 +253,53 @@ def value_cache(spark: SparkSession, d: str) -> DataFrame:
     return K.cached(spark, path, docs, "doc_id", compute)
 
 
-QUERIES = {f.__name__: f for f in (source_facets, hidden_drop, score_bands, people_scan, resolved_splits, verified_boxes, schema_report, stamped_config, site_mentions, prefix_join, cover_json, code_histogram, lineage_record, band_sample, nearest_prior, audit_sample, place_groups, gradient_codes, mirrored_pairs, oriented_pairs, confirm_kinds, instance_codes, star_links, largest_cluster, twin_conflicts, qa_pairs, presence_rows, mean_precision, logistic_probe, value_cache)}
+def caption_flags(spark: SparkSession, d: str) -> DataFrame:
+    """Captions that name other ground than what the label note of the same image names, where that is one class."""
+    from tidemill.functions.identity import digest as as_digest
+    from tidemill.operators.columns import GROUND, caption_flag, named_states
+
+    docs = t(spark, d, "documents").select("doc_id", "text", "kind", as_digest(F.col("image_sha256")).alias("digest")).filter("digest is not null")
+    notes = docs.filter("kind <> 'caption'").select("digest", F.explode(named_states(F.col("text"), GROUND)).alias("state"))
+    label = notes.groupBy("digest").agg(F.min("state").alias("label"), F.max("state").alias("last")).filter("label = last").select("digest", "label")
+    flagged = docs.filter("kind = 'caption'").join(label, "digest").select("doc_id", caption_flag(F.col("text"), F.col("label"), GROUND, "benthic").alias("flag"))
+    return flagged.filter("flag is not null")
+
+
+def allowed_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Deliveries under one of the licences on a list."""
+    from tidemill.operators.columns import allowed
+
+    return t(spark, d, "metadata").filter(allowed(F.col("license"), ["CC-BY-4.0", "CC0-1.0"])).groupBy("license").agg(F.count("*").alias("n"))
+
+
+def uuid_licences(spark: SparkSession, d: str) -> DataFrame:
+    """Images found again by the uuid in a file name, with the licence of the first delivery; the others unmatched."""
+    from tidemill.operators.columns import uuid_in
+
+    cut = lambda at, n: F.substring("digest", at, n)
+    m = t(spark, d, "metadata").select("row_id", "batch", "license", digest(F.col("image_sha256")).alias("digest")).filter("digest is not null")
+    m = m.withColumn("name", F.concat(F.lit("img/"), F.upper(F.concat_ws("-", cut(1, 8), cut(9, 4), cut(13, 4), cut(17, 4), cut(21, 12))), F.lit(".png")))
+    known = m.filter("batch = 0").groupBy(uuid_in(F.col("name")).alias("uuid")).agg(F.min_by("license", "row_id").alias("licence"))
+    j = m.withColumn("uuid", uuid_in(F.lit(None).cast("string"), F.col("name"))).join(known.withColumn("hit", F.lit(True)), "uuid", "left")
+    return j.groupBy(F.when(F.col("hit"), "matched").otherwise("unmatched").alias("status"), "licence").agg(F.count("*").alias("n"))
+
+
+def node_facts(spark: SparkSession, d: str) -> DataFrame:
+    """Every node with its rank and the nearest family or order, itself or above it."""
+    from tidemill.operators.hierarchy import nearest_of_rank
+
+    return nearest_of_rank(spark, t(spark, d, "taxonomy"), ["family", "order"])
+
+
+def half_equal_quotas(spark: SparkSession, d: str) -> DataFrame:
+    """Rows a source gives to a sample that is shared half equally, half by size, and what each row stands for."""
+    from tidemill.operators.sample import half_equal_sample
+
+    s = half_equal_sample(t(spark, d, "documents").select("doc_id", "source"), "source", "doc_id", 200)
+    return s.groupBy("source").agg(F.count("*").alias("n"), F.round(F.sum("weight"), 6).alias("stands_for"))
+
+
+QUERIES = {f.__name__: f for f in (caption_flags, allowed_rows, uuid_licences, node_facts, half_equal_quotas, source_facets, hidden_drop, score_bands, people_scan, resolved_splits, verified_boxes, schema_report, stamped_config, site_mentions, prefix_join, cover_json, code_histogram, lineage_record, band_sample, nearest_prior, audit_sample, place_groups, gradient_codes, mirrored_pairs, oriented_pairs, confirm_kinds, instance_codes, star_links, largest_cluster, twin_conflicts, qa_pairs, presence_rows, mean_precision, logistic_probe, value_cache)}
 IMG = f"img as (select *, {D64('image_sha256')} as digest from metadata)"
 HEX = lambda c: f"('0x' || {c})::bigint"
 BITS = lambda a, b: f"bit_count(xor({HEX(f'substr({a}, 1, 8)')}, {HEX(f'substr({b}, 1, 8)')})) + bit_count(xor({HEX(f'substr({a}, 9)')}, {HEX(f'substr({b}, 9)')}))"
@@ -290,4 +337,12 @@ SQL = {
     "presence_rows": "select class, count(*) as parts from (select distinct l_partkey, l_returnflag || l_linestatus as class from lineitem) group by 1",
     "mean_precision": f"with {SCO}, b as (select guess, score, count(*) as n, count(*) filter (label = guess) as k from s group by 1, 2), r as (select guess, sum(k) over w as tp, sum(n) over w as n, sum(k) over (partition by guess) as m from b window w as (partition by guess order by score desc)), p as (select guess, floor(tp * 100 / m)::int as level, tp / n as p from r where m > 0), g as (select guess, l, max(p) as p from p, (select unnest(range(0, 101)) as l) where level >= l group by 1, 2) select guess, round(sum(p) / 101, 6) as ap from g group by 1",
     "value_cache": "select doc_id, sha256(coalesce(text, '')) as h from documents",
+    "caption_flags": f"""with d as (select doc_id, kind, {D64('image_sha256')} as digest, list_sort(list_filter([case when contains(lower(coalesce(text, '')), 'hard coral') then 'HC' end, case when contains(lower(coalesce(text, '')), 'soft coral') then 'SC' end, case when contains(lower(coalesce(text, '')), 'coral rubble') then 'RB' end, case when contains(lower(coalesce(text, '')), 'sand') then 'SD' end, case when contains(lower(coalesce(text, '')), 'algae') then 'ALG' end, case when contains(lower(coalesce(text, '')), 'rock') then 'RCK' end, case when contains(lower(coalesce(text, '')), 'sponge') then 'SP' end], lambda x: x is not null)) as named from documents), n as (select digest, unnest(named) as state from d where kind <> 'caption' and digest is not null),
+ l as (select digest, min(state) as label from n group by 1 having min(state) = max(state))
+ select doc_id, 'benthic:caption=' || array_to_string(named, ',') || '!=label=' || label as flag from d join l using (digest) where kind = 'caption' and len(named) > 0 and not list_contains(named, label)""",
+    "allowed_rows": "select license, count(*) as n from metadata where license in ('CC-BY-4.0', 'CC0-1.0') group by 1",
+    "uuid_licences": f"with m as (select row_id, batch, license, substr({D64('image_sha256')}, 1, 32) as u from metadata where {D64('image_sha256')} is not null), k as (select u, arg_min_null(license, row_id) as licence from m where batch = 0 group by 1) select case when k.u is not null then 'matched' else 'unmatched' end as status, licence, count(*) as n from m left join k using (u) group by 1, 2",
+    "node_facts": f"""with recursive {NODES}, up as (select node, node as above, 0 as steps from n union all select u.node, n.parent, u.steps + 1 from up u join n on u.above = n.node where n.parent is not null and u.steps < 100),
+ t as (select node from n where parent is null union all select n.node from n join t on n.parent = t.node), r as (select u.node, u.above, u.steps from up u join n on n.node = u.above where n.rank in ('family', 'order') and (u.node in (select node from t) or u.steps = 0))
+ select n.node as node_key, n.rank, f.above as code from n left join (select * from r qualify row_number() over (partition by node order by steps) = 1) f on f.node = n.node""",
 }

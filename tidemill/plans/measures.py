@@ -26,11 +26,17 @@ def scott_pi(spark: SparkSession, d: str) -> DataFrame:
     return M.kappa(raters(spark, d), "a", "b", pooled=True)
 
 
+def probabilities(spark: SparkSession, d: str) -> DataFrame:
+    return M.class_probabilities(t(spark, d, "embeddings"), "vec_id", "label", "embedding")
+
+
 def scored(spark: SparkSession, d: str) -> DataFrame:
-    """Each vector with the label of its most similar class mean as a guess, and a score in [0, 1]."""
-    e = t(spark, d, "embeddings")
-    guess = F.when(F.pmod(F.col("vec_id") * 7, F.lit(10)) < 7, F.col("label")).otherwise(F.pmod(F.col("label") + F.col("vec_id"), F.lit(10)).cast("int"))
-    return e.select("vec_id", "label", guess.alias("guess"), (F.pmod(F.col("vec_id") * 37, F.lit(1000)) / 1000.0 + 0.0005).alias("score"))
+    """Each vector with the label of its most similar class mean as a guess, and the probability of it."""
+    return M.guesses(probabilities(spark, d)).withColumnRenamed("key", "vec_id")
+
+
+def label_probabilities(spark: SparkSession, d: str) -> DataFrame:
+    return probabilities(spark, d).select(F.col("key").alias("vec_id"), F.col("class").alias("label"), "p")
 
 
 def macro_f1(spark: SparkSession, d: str) -> DataFrame:
@@ -74,10 +80,35 @@ def label_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 def noise_joint(spark: SparkSession, d: str) -> DataFrame:
-    """Given and likely label of rows whose score passes the class's mean score, as counts."""
-    s = scored(spark, d)
-    cut = s.groupBy(F.col("guess").alias("c")).agg(F.avg("score").alias("cut"))
-    return s.join(cut, s["guess"] == F.col("c")).filter(F.col("score") >= F.col("cut")).groupBy("label", "guess").agg(F.count("*").alias("n"))
+    """Rows by given and confident label, and the calibrated joint of the two."""
+    return M.confident_joint(M.confident(probabilities(spark, d)))
+
+
+def label_issues(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors that confidently belong to another label than theirs."""
+    return M.confident(probabilities(spark, d)).filter("likely <> label").select(F.col("key").alias("vec_id"), "label", "likely")
+
+
+def answer_accuracy(spark: SparkSession, d: str) -> DataFrame:
+    """Answers given in documents, held against the answers that other sources give to the same question."""
+    from tidemill.functions.text import normal_answer
+
+    part = lambda i: F.regexp_extract("text", r"(?s)Q:\s*(.+?)\s*A:\s*(.+?)\s*$", i)
+    q = t(spark, d, "documents").select("doc_id", "source", normal_answer(part(1)).alias("question"), part(2).alias("answer")).filter("answer <> ''")
+    given = q.groupBy("question").agg(F.collect_set(F.struct("source", "answer")).alias("given"))  # the distinct answers to one question
+    q = q.join(given, "question")
+    others = F.transform(F.filter("given", lambda g: ~g["source"].eqNullSafe(F.col("source"))), lambda g: g["answer"])
+    return q.groupBy("source").agg(F.count("*").alias("answers"), F.count_if(M.right_answer(F.col("answer"), others)).alias("right"))
+
+
+def box_precision(spark: SparkSession, d: str) -> DataFrame:
+    """Average precision of boxes made from rows of staged images: eight true boxes an image far apart, found shifted."""
+    from tidemill.operators.detect import average_precision
+
+    n = F.col("staged_id")
+    s = t(spark, d, "staged_images").select(n, F.floor(n / 8).alias("image"), (n % 5).alias("label"), (n % 8 * 100).alias("x"), F.lit(0).alias("y"), (20 + n % 10).alias("w"), F.lit(20).alias("h"))
+    found = s.filter(n % 11 > 0).withColumns({"x": F.col("x") + n % 7, "score": n * 37 % 1000 / 1000.0, "id": n})
+    return average_precision(s, found).select("label", "threshold", "truths", F.round("ap", 6).alias("ap"))
 
 
 def qa_accuracy(spark: SparkSession, d: str) -> DataFrame:
@@ -97,9 +128,13 @@ def stratified_rate(spark: SparkSession, d: str) -> DataFrame:
     return m.agg(F.round(F.sum(F.least("k", "n") / F.col("n") * F.col("population")), 3).alias("estimate"), F.round(F.sum(F.col("low") * F.col("population")), 3).alias("low"), F.round(F.sum(F.col("high") * F.col("population")), 3).alias("high"))
 
 
-QUERIES = {f.__name__: f for f in (cohen_kappa, scott_pi, macro_f1, class_report, confusion_counts, calibration, bootstrap_accuracy, class_weights, label_index, noise_joint, qa_accuracy, stratified_rate)}
+QUERIES = {f.__name__: f for f in (cohen_kappa, scott_pi, macro_f1, class_report, confusion_counts, calibration, bootstrap_accuracy, class_weights, label_index, label_probabilities, noise_joint, label_issues, answer_accuracy, box_precision, qa_accuracy, stratified_rate)}
 RAT = f"m as (select {D64('image_sha256')} as digest, source_id, {SPLIT('split')} as s from metadata), f as (select * from m where digest is not null and source_id is not null and s is not null), r as (select digest, arg_min(s, source_id || '|' || s) as a, arg_max(s, source_id || '|' || s) as b, min(source_id) as x, max(source_id) as y from f group by 1 having min(source_id) <> max(source_id))"
-SCO = "s as (select vec_id, label, case when (vec_id * 7) % 10 < 7 then label else ((label + vec_id) % 10)::int end as guess, ((vec_id * 37) % 1000) / 1000.0::double + 0.0005 as score from embeddings)"
+PRB = """e0 as (select vec_id, label, list_transform(embedding, lambda x: x::double) as v from embeddings where vec_id is not null and label is not null and embedding is not null),
+ m0 as (select label as c, i, avg(v[i]) as m from e0, (select unnest(range(1, (select max(len(v)) + 1 from e0))) as i) group by 1, 2), m as (select c, list(m order by i) as m from m0 group by 1),
+ cs as (select vec_id, label, c, exp(8 * round(list_cosine_similarity(v, m), 9)) as e from e0, m), pr as (select vec_id, label, c, round(e / sum(e) over (partition by vec_id), 6) as p from cs)"""
+SCO = f"{PRB}, s as (select vec_id, label, c as guess, p as score from pr qualify row_number() over (partition by vec_id order by p desc, c) = 1)"
+CONF = f"{PRB}, cut as (select c, round(avg(p), 9) as cut from pr where label = c group by 1), li as (select vec_id, c as likely from pr join cut using (c) where p >= cut qualify row_number() over (partition by vec_id order by p desc, c) = 1), cf as (select vec_id, label, likely from e0 left join li using (vec_id))"
 CLS = f"{SCO}, tr as (select label, count(*) as support, count(*) filter (label = guess) as tp from s group by 1), gu as (select guess as label, count(*) as guessed from s group by 1), c as (select label, support, 2.0 * tp / (support + coalesce(guessed, 0)) as f1, tp / support as recall, tp / (support + coalesce(guessed, 0) - tp) as iou from tr left join gu using (label))"
 KAP = lambda e: f"with {RAT}, n as (select count(*) as n, count(*) filter (a = b) as same from r), pa as (select a as l, count(*) as x from r group by 1), pb as (select b as l, count(*) as y from r group by 1), e as (select sum({e})::double / pow((select n from n), 2) as pe from (select coalesce(x, 0) as x, coalesce(y, 0) as y from pa full join pb using (l))) select n, round(same / n, 6) as observed, round(pe, 6) as expected, round((same / n - pe) / nullif(1 - pe, 0), 6) as kappa from n, e"  # noqa: E731, E501
 SQL = {
@@ -115,7 +150,19 @@ SQL = {
  v as (select r, sum(m * k) / nullif(sum(m * n), 0) as v from w group by 1) select round(quantile_cont(v, 0.025), 6) as low, round(quantile_cont(v, 0.5), 6) as middle, round(quantile_cont(v, 0.975), 6) as high from v""",
     "class_weights": "with n as (select label, count(*) as n from embeddings group by 1) select label, n, round(1.0 / n / (select avg(1.0 / n) from n), 6) as weight from n",
     "label_index": "with n as (select nullif(lower(trim(rank)), '') as rank, count(*) as n from taxonomy group by 1), e as (select rank, (row_number() over (order by rank) - 1)::int as i from n where rank is not null and n >= 50) select n.rank, n, coalesce(i, -100) as \"index\" from n left join e using (rank) where n.rank is not null",
-    "noise_joint": f"with {SCO}, c as (select guess, avg(score) as cut from s group by 1) select label, guess, count(*) as n from s join c using (guess) where score >= cut group by 1, 2",
+    "label_probabilities": f"with {PRB} select vec_id, c as label, p from pr",
+    "noise_joint": f"with {CONF}, g as (select label, count(*) as given, count(likely) as total from cf group by 1) select label, likely, count(*) as n, round(count(*) / any_value(total) * any_value(given), 6) as joint from cf join g using (label) where likely is not null group by 1, 2",
+    "label_issues": f"with {CONF} select vec_id, label, likely from cf where likely <> label",
+    "answer_accuracy": f"""with q0 as (select doc_id, source, regexp_extract(text, '(?s)Q:\\s*(.+?)\\s*A:\\s*(.+?)\\s*$', 1) as text, regexp_extract(text, '(?s)Q:\\s*(.+?)\\s*A:\\s*(.+?)\\s*$', 2) as answer from documents),
+ q1 as (select doc_id, source, coalesce(array_to_string({TOKENS}, ' '), '') as question, answer as text from q0 where answer <> ''), q as (select doc_id, source, question, coalesce(array_to_string({TOKENS}, ' '), '') as answer from q1)
+ select source, count(*) as answers, count(*) filter (exists (select 1 from q o where o.question = q.question and o.source is distinct from q.source and o.answer = q.answer)) as right from q group by 1""",
+    "box_precision": """with s as (select staged_id as n, staged_id % 5 as label, 20 + staged_id % 10 as w, staged_id % 7 as dx, (staged_id * 37 % 1000) / 1000.0::double as score from staged_images),
+ tr as (select label, count(*) as truths from s group by 1), th as (select round(0.5 + 0.05 * i, 2) as threshold from (select unnest(range(0, 10)) as i)),
+ r as (select label, threshold, row_number() over w as k, sum(((w - dx)::double / (w + dx) >= threshold)::int) over w as tp, ((w - dx)::double / (w + dx) >= threshold) as hit from s, th where n % 11 > 0 window w as (partition by label, threshold order by score desc, n::varchar rows unbounded preceding)),
+ b as (select label, threshold, floor(100 * tp / truths + 1e-9)::int as step, max(tp::double / k) as p from r join tr using (label) where hit group by 1, 2, 3),
+ g as (select label, truths, threshold, i as step from tr, th, (select unnest(range(0, 101)) as i)),
+ v as (select g.label, g.threshold, g.truths, g.step, coalesce(max(p), 0) as p from g left join b on b.label = g.label and b.threshold = g.threshold and b.step >= g.step group by 1, 2, 3, 4)
+ select label::varchar as label, threshold::double as threshold, truths, round(sum(p) / 101, 6) as ap from v group by 1, 2, 3""",
     "qa_accuracy": f"with b as (select bench, coalesce(array_to_string({TOKENS}, ' '), '') as a from bench_items), n as (select bench, a, count(*) as n from b group by 1, 2) select bench, sum(n)::bigint as items, coalesce(sum(n) filter (n > 1), 0)::bigint as matched from n group by 1",
     "stratified_rate": "with a as (select source_id, count(*) filter (site_id is not null) as k0, count(lat) as n, count(*) as p, 1.959963984540054 as z from metadata group by 1), b as (select *, least(k0, n) as k from a where n > 0), w as (select p, k / n as r, greatest(0, (k/n + z*z/(2*n) - z*sqrt((k/n)*(1-k/n)/n + z*z/(4*n*n))) / (1 + z*z/n)) as low, least(1, (k/n + z*z/(2*n) + z*sqrt((k/n)*(1-k/n)/n + z*z/(4*n*n))) / (1 + z*z/n)) as high from b) select round(sum(r * p), 3) as estimate, round(sum(low * p), 3) as low, round(sum(high * p), 3) as high from w",
 }

@@ -103,7 +103,7 @@ def answer_normalise(spark: SparkSession, d: str) -> DataFrame:
 
 
 def number_words(spark: SparkSession, d: str) -> DataFrame:
-    docs = t(spark, d, "documents").filter("lang = 'en'")
+    docs = t(spark, d, "documents")
     toks = docs.select(F.explode(F.split(text.normal_answer(F.col("text")), " ")).alias("w"))
     return toks.filter("w rlike '^[0-9]+$'").groupBy(F.length("w").alias("digits")).agg(F.count("*").alias("n"))
 
@@ -206,7 +206,7 @@ SQL = {
     "licence_classes": f"select {LICENCE} as licence, case when {LICENCE} like '%-NC%' then 'noncommercial' when {LICENCE} like '%-ND%' then 'noderivatives' when {LICENCE} like '%-SA%' then 'sharealike' when {LICENCE} like 'CC-BY%' then 'attribution' when {LICENCE} like 'CC0%' or {LICENCE} like 'PUBLIC-DOMAIN%' then 'open' else 'unknown' end as class, count(*) as n from metadata group by 1, 2",
     "joined_licences": f"select source_id, string_agg(distinct {LICENCE}, '; ' order by {LICENCE}) as licences from metadata group by 1",
     "answer_normalise": f"select item_id, coalesce(array_to_string({TOKENS}, ' '), '') as answer from bench_items",
-    "number_words": f"select length(w) as digits, count(*) as n from (select unnest({TOKENS}) as w from documents where lang = 'en') where regexp_matches(w, '^[0-9]+$') group by 1",
+    "number_words": f"select length(w) as digits, count(*) as n from (select unnest({TOKENS}) as w from documents) where regexp_matches(w, '^[0-9]+$') group by 1",
     "stem_words": r"""with w as (select unnest(string_split(trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g')), ' ')) as w from taxonomy where name is not null)
  select case when w like '%ies' and length(w) > 4 then substr(w, 1, length(w) - 3) || 'y' when w like '%s' and not w like '%ss' and not w like '%us' and not w like '%is' and length(w) > 3 then substr(w, 1, length(w) - 1) else w end as stem, count(*) as n
  from w where w <> '' and w not in ('a','an','and','for','in','of','on','the','to','with') group by 1 having count(*) > 1""",

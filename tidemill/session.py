@@ -6,8 +6,10 @@ Nothing here assumes a local file system: intermediate tables go to the folder t
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,7 +28,18 @@ def session(app: str = "tidemill", master: str | None = None, **conf: str) -> Sp
         "spark.sql.parquet.compression.codec": "zstd",
         "spark.ui.enabled": "false",
     }
-    return b.config(map=settings | conf).getOrCreate()
+    spark = b.config(map=settings | conf).getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this package, so that their Python workers find it wherever it lies on the driver."""
+    import tidemill
+
+    home = Path(tidemill.__file__).resolve().parent
+    # the driver serves the archive to executors that come later, so it is kept
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/tidemill", "zip", home.parent, home.name))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,6 +48,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not known:
         sc = spark.sparkContext
         current = sc._jsc.sc().getCheckpointDir()
+        if not current.isDefined() and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         known = current.get() if current.isDefined() else tempfile.mkdtemp(prefix="tidemill-")
         spark.conf.set("spark.checkpoint.dir", known)
         if not current.isDefined():

@@ -7,8 +7,10 @@ rather than a failed job.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +32,7 @@ def load(spark: SparkSession, layout: str, path: str, **options) -> DataFrame:
     if layout not in READERS:
         raise KeyError(f"unknown layout {layout}; known: {', '.join(sorted(READERS))}")
     df = READERS[layout](spark, path, **options)
-    if df.isEmpty():
+    if layout != "metadata only" and df.isEmpty():
         raise ValueError(f"{layout} at {path} has no rows")
     return df
 
@@ -172,3 +174,144 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
 def run_length(counts: Column) -> Column:
     """A mask from run lengths that alternate from 0: array<int> of pixels."""
     return F.flatten(F.transform(counts, lambda n, i: F.array_repeat(i.bitwiseAND(F.lit(1)), n)))
+
+
+@reader("bounding boxes json")
+def bounding_boxes(spark: SparkSession, path: str) -> DataFrame:
+    """One JSON object per image (a line, or with one per file the whole file) with ``boundingBoxes``: one row per box, with the
+    image's uuid, digest and licence, and the box's crowd flag and licence. Images without boxes keep one row with null label."""
+    box = "struct<concept string, x double, y double, width double, height double, groupOf boolean, occluded boolean, truncated boolean, reviewState string, altConcept string, annotationLicense string>"
+    schema = f"uuid string, sha256 string, width int, height int, imageLicense string, boundingBoxes array<{box}>"
+    t = spark.read.schema(schema).json(path).select("*", F.explode_outer("boundingBoxes").alias("b"))
+    b = F.col("b")
+    more = [F.coalesce(b["groupOf"], F.lit(False)).alias("crowd"), b["occluded"].alias("occluded"), b["truncated"].alias("truncated"), b["reviewState"].alias("review"), b["altConcept"].alias("also"), b["annotationLicense"].alias("box_licence")]
+    return t.select(F.lower("uuid").alias("image"), *_box(b["concept"], b["x"], b["y"], b["width"], b["height"]), "width", "height", "sha256", F.col("imageLicense").alias("licence"), *more)
+
+
+@reader("placed objects json")
+def placed_objects(spark: SparkSession, path: str, unnamed: str = "fauna") -> DataFrame:
+    """One JSON object per composed image, whose lists ``placed`` and ``fauna`` hold objects with a box of two corners: one row
+    per box with its list as ``layer``. A box that is not four numbers comes out with null sides; a missing class is ``unnamed``."""
+    obj = "array<struct<class string, box array<double>>>"
+    t = spark.read.schema(f"image string, placed {obj}, fauna {obj}").json(path).withColumn("file", stem(F.col("_metadata.file_path")))
+    layer = lambda name: F.transform(F.coalesce(F.col(name), F.array().cast(obj)), lambda o: F.struct(F.lit(name).alias("layer"), o.alias("o")))
+    layers = F.concat(layer("placed"), layer("fauna"))
+    t = t.select(F.coalesce("image", "file").alias("image"), F.explode(layers).alias("e"))
+    c = F.when(F.size("e.o.box") == 4, F.col("e.o.box"))
+    return t.select("image", *_box(F.coalesce("e.o.class", F.lit(unnamed)), c[0], c[1], c[2] - c[0], c[3] - c[1]), F.col("e.layer").alias("layer"))
+
+
+def _lengths(counts: str | None) -> list[int]:
+    """Run lengths of a COCO mask: a JSON list of numbers, or the compressed text, whose characters carry five bits each (and a
+    sixth for "more"), as differences from the length two before."""
+    if not counts:
+        return []
+    if counts.lstrip().startswith("["):
+        return [int(x) for x in json.loads(counts)]
+    out: list[int] = []
+    value = shift = 0
+    for c in counts:
+        bits = ord(c) - 48
+        value |= (bits & 31) << shift
+        shift += 5
+        if not bits & 32:
+            if bits & 16:
+                value -= 1 << shift
+            out.append(value + (out[-2] if len(out) > 2 else 0))
+            value = shift = 0
+    return out
+
+
+def union_lengths(masks: list[list[int]], size: int) -> list[int]:
+    """Run lengths (from 0) of the union of masks given by theirs, each of ``size`` pixels; a shorter mask ends in 0."""
+    steps: dict[int, int] = {}
+    for runs in masks:
+        at = 0
+        for i, n in enumerate(runs):
+            if i % 2 and n > 0:
+                steps[at] = steps.get(at, 0) + 1
+                steps[at + n] = steps.get(at + n, 0) - 1
+            at += n
+    out, at, depth = [], 0, 0
+    for spot in sorted(steps):
+        deeper = depth + steps[spot]
+        if (depth > 0) != (deeper > 0):
+            out.append(spot - at)
+            at = spot
+        depth = deeper
+    return [*out, size - at] if out else [size]
+
+
+@reader("run-length masks")
+def run_length_masks(spark: SparkSession, path: str) -> DataFrame:
+    """One JSON object per image with masks as COCO run lengths (a list or the compressed text): (image, width, height, masks,
+    runs, pixels), runs and pixels of the union of all masks, column by column. A mask of another size than the image, and
+    lengths that don't add up to it, make runs and pixels null; an image without masks is empty."""
+    mark = "struct<segmentation struct<size array<int>, counts string>>"
+    t = spark.read.schema(f"image struct<file_name string, width int, height int>, annotations array<{mark}>").json(path)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for image, marks in zip(b.column("image").to_pylist(), b.column("annotations").to_pylist(), strict=True):
+                image, marks = image or {}, marks or []
+                w, h = image.get("width"), image.get("height")
+                runs = None
+                if w is not None and h is not None:
+                    segments = [(m or {}).get("segmentation") or {} for m in marks]
+                    lengths = [_lengths(s.get("counts")) for s in segments]
+                    fits = all(s.get("size") in (None, [h, w]) and sum(n) == h * w and min(n, default=0) >= 0 for s, n in zip(segments, lengths, strict=True))
+                    runs = union_lengths(lengths, h * w) if fits else None
+                out.append((image.get("file_name"), w, h, len(marks), runs, None if runs is None else sum(runs[1::2])))
+            kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int64()]
+            columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)] if out else [pa.array([], k) for k in kinds]
+            yield pa.RecordBatch.from_arrays(columns, ["image", "width", "height", "masks", "runs", "pixels"])
+
+    return t.mapInArrow(decode, "image string, width int, height int, masks int, runs array<bigint>, pixels bigint")
+
+
+@reader("instance masks")
+def instance_masks(spark: SparkSession, path: str) -> DataFrame:
+    """One JSON object per image with its instance ids pixel by pixel (0 is none) and the class of each id: one row per instance
+    that has pixels, with its box, pixels and class (null where the list has none)."""
+    t = spark.read.schema("image string, width int, pixels array<int>, instances array<struct<id int, class string>>").json(path)
+    spots = t.select("image", "width", F.posexplode("pixels").alias("at", "id")).filter("id > 0")
+    x, y = F.pmod("at", "width"), F.floor(F.col("at") / F.col("width"))
+    area = spots.groupBy("image", "id").agg(F.count("*").alias("pixels"), F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1"))
+    names = t.select("image", F.explode("instances").alias("i")).select("image", F.col("i.id").alias("id"), F.col("i.class").alias("name"))
+    names = names.groupBy("image", "id").agg(F.min("name").alias("name"))
+    j = area.join(names, ["image", "id"], "left")
+    return j.select("image", "id", *_box(F.col("name"), F.col("x0"), F.col("y0"), F.col("x1") - F.col("x0") + 1, F.col("y1") - F.col("y0") + 1), "pixels")
+
+
+@reader("label manifest")
+def label_manifest(spark: SparkSession, path: str, name: str = "file_name", label: str = "label", files: str | None = None) -> DataFrame:
+    """A JSON list of objects that give each file's label: (image, label). With ``files``, a folder, also whether the file is
+    there; a record without a name keeps null and is nowhere."""
+    t = spark.read.schema(f"`{name}` string, `{label}` string").option("multiLine", True).json(path)
+    t = t.select(F.col(name).alias("image"), F.col(label).alias("label"))
+    if files is None:
+        return t
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(files).select(F.regexp_replace("path", "^.*/", "").alias("image")).distinct()
+    return t.join(there.withColumn("there", F.lit(True)), "image", "left").withColumn("there", F.coalesce("there", F.lit(False)))
+
+
+# What an audio file's name may end in.
+AUDIO = ["wav", "mp3", "flac", "ogg", "aif", "aiff", "m4a"]
+
+
+@reader("audio folders")
+def audio_folders(spark: SparkSession, path: str) -> DataFrame:
+    """Audio files under one folder per class, at any depth: (image, label, bytes, sha256), the class being the first folder below
+    ``path``; other files are left out."""
+    t = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    below = F.substring_index("path", path.rstrip("/") + "/", -1)
+    t = t.select(below.alias("below"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    t = t.filter(F.lower(F.substring_index("below", ".", -1)).isin(AUDIO) & F.col("below").contains("/"))
+    return t.select(F.regexp_replace("below", "^.*/", "").alias("image"), F.substring_index("below", "/", 1).alias("label"), "bytes", "sha256")
+
+
+@reader("metadata only")
+def metadata_only(spark: SparkSession, path: str) -> DataFrame:
+    """A source that is only referred to: it has the columns of the others and no rows."""
+    return spark.createDataFrame([], "image string, label string, x double, y double, w double, h double, confidence double")
