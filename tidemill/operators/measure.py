@@ -94,6 +94,8 @@ def class_probabilities(rows: DataFrame, key: str, label: str, vector: str, shar
     if len(found) > MOST_CLASSES:
         raise ValueError(f"more than {MOST_CLASSES} classes")
     width = max((len(r["m"]) for r in found), default=0)
+    if not width:
+        return good.filter("false").select("key", "label", F.col("label").alias("class"), F.lit(0.0).alias("p"))
     means = np.array([[e["m"] for e in r["m"]] for r in found if len(r["m"]) == width]).reshape(-1, width)
     means = means / np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-300)
     shared = rows.sparkSession.sparkContext.broadcast(([r["label"] for r in found if len(r["m"]) == width], means))
