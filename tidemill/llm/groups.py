@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.identity import code, digest
@@ -15,16 +15,13 @@ FRONTIER_ROUNDS = 8
 
 def numbered(vertices: DataFrame, scratch: Scratch) -> DataFrame:
     """(v, id): distinct vertices with dense numbers in their order: the position in a sorted partition plus the sizes of
-    the partitions before it, of which only the counts reach the driver."""
+    the partitions before it, a row per partition."""
     table = scratch.keep(vertices.repartitionByRange("v").sortWithinPartitions("v").withColumn("at", F.monotonically_increasing_id()))
-    part = F.call_function("shiftright", "at", F.lit(33)).cast("int")
-    counts = sorted(tuple(r) for r in table.groupBy(part.alias("p")).count().collect())
-    before, total = [], 0
-    for p, n in counts:
-        before.append((p, total))
-        total += n
-    start = F.create_map(*(F.lit(x) for pair in before for x in pair)) if before else F.create_map(F.lit(0), F.lit(0))
-    return table.select("v", (F.element_at(start, part).cast("bigint") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).alias("id"))
+    table = table.withColumn("part", F.call_function("shiftright", "at", F.lit(33)))
+    sizes = table.groupBy("part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("part")) - F.col("n")
+    start = sizes.select("part", before.alias("start"))
+    return table.join(F.broadcast(start), "part").select("v", (F.col("start") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).alias("id"))
 
 
 def components(spark: SparkSession, edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:

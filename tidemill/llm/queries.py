@@ -187,6 +187,11 @@ SQL: dict[str, str] = {
  star as (select g as a, min(g) over (partition by c) as b from dh where g is not null and c not in (repeat('0', 16), repeat('f', 16))),
  links as (select a, b from star where a <> b union select x, y from (select nullif({_digest('sha_a')}, '') as x, nullif({_digest('sha_b')}, '') as y from pairs where confirmed) where x <> y and x in (select g from rec where g is not null) and y in (select g from rec where g is not null)),
  links2 as (select a, b from links union select b, a from links), {_CLOSE} select v as sha256, root as group_id from root""",
+    "chain_guard": f"""with recursive dh as (select distinct nullif({_digest('sha256')}, '') as g, lpad(regexp_replace({_word('dhash')}, '^0x', ''), 16, '0') as c from dhash where regexp_matches({_word('dhash')}, '^(0x)?[0-9a-f]{{1,16}}$')),
+ d as (select * from dh where g is not null and c not in (repeat('0', 16), repeat('f', 16))), links as (select a.g as a, b.g as b from d a join d b on a.g < b.g and bit_count(xor(('0x' || substr(a.c, 1, 8))::bigint, ('0x' || substr(b.c, 1, 8))::bigint))::int + bit_count(xor(('0x' || substr(a.c, 9))::bigint, ('0x' || substr(b.c, 9))::bigint))::int <= 4
+  union select x, y from (select nullif({_digest('sha_a')}, '') as x, nullif({_digest('sha_b')}, '') as y from pairs where confirmed) where x <> y and x in (select g from d) and y in (select g from d)),
+ links2 as (select a, b from links union select b, a from links), {_CLOSE}, n as (select coalesce(root, g) as root, count(*) as n from (select distinct g from d) left join root on root.v = g group by 1)
+ select max(n) as largest, sum(n)::bigint as images, max(n) <= 0.01 * sum(n) as passed from n""",
     "p4_found": f"""with recursive st as (select staged_id, case when {_word('upstream_split')} in ('train', 'training') then 'train' when {_word('upstream_split')} in ('val', 'valid', 'validation', 'dev') then 'val' when {_word('upstream_split')} in ('test', 'testing') then 'test' end as s,
   case when regexp_matches({_word('split_group')}, '[a-z0-9]') and {_word('split_group')} not in ('none', 'null', 'nan', 'na', 'n/a', 'unknown') then 'g:' || {_word('split_group')} end as gk, regexp_extract(lower(stem), '{_SITE}', ['a', 'b', 'c', 'y', 'm', 'd', 'n']) as p from staged_images),
  rows as (select staged_id, s, gk, case when p.n <> '' and p.m between '01' and '12' and p.d between '01' and '31' then 'f:' || p.a || p.b || p.c || '|' || p.y || p.m || p.d || '|' || ltrim(p.n, '0') end as fk from st),
