@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
@@ -195,10 +196,23 @@ def test_allocation_traps(spark):
     assert got["a"] == "test" and set(got) == {"a", "b", "c"}
 
 
-def test_too_many_groups(spark, monkeypatch):
+def test_many_groups_are_dealt_out_by_size(spark, monkeypatch):
+    """Beyond the bound every split gets as many groups of each size as one by one."""
+    rng = random.Random(6)
+    sizes = [rng.choice([1, 1, 1, 2, 5, 40]) for _ in range(120)]
+    df = spark.createDataFrame([(f"g{i}",) for i, n in enumerate(sizes) for _ in range(n)] + [(None,)], "g string")
+    ratios = {"train": 0.7, "val": 0.15, "test": 0.15}
+    tally = lambda rows, c: Counter((r.n, r[c]) for r in rows.collect())
+    want = tally(A.greedy(df, "g", ratios), "split"), tally(A.folds(df, "g", 4), "fold")
     monkeypatch.setattr(A, "MAX_GROUPS", 2)
-    with pytest.raises(ValueError):
-        A.greedy(spark.range(5).select(F.col("id").cast("string").alias("g")), "g", {"train": 1.0})
+    got = A.greedy(df, "g", ratios)
+    assert (tally(got, "split"), tally(A.folds(df, "g", 4), "fold")) == want and got.select("g").distinct().count() == got.count() == 120
+    for many in (5000, 40_000):
+        lack, own = {"a": 50_000.0, "b": 20_000.0, "c": -10.0}, dict(a=50_000.0, b=20_000.0, c=-10.0)
+        monkeypatch.setattr(A, "ONE_BY_ONE", 100)
+        quick = A.deal(3, many, lack)
+        monkeypatch.setattr(A, "ONE_BY_ONE", 1 << 30)
+        assert quick == A.deal(3, many, own) and sum(quick.values()) == many
 
 
 def test_harmonise(spark):
@@ -230,7 +244,7 @@ def events(spark, tmp_path, batches):
 def test_streams_equal_batches(spark, tmp_path):
     s = events(spark, tmp_path, [[(1, 0, 1), (2, 10, 1)], [(3, 100, 1), (1, 0, 1)], [(4, 3000, 2)]])
     b = spark.read.parquet(str(tmp_path / "events.parquet"))
-    assert [tuple(r) for r in T.drain(T.counts(s), "complete").collect()] == [tuple(r) for r in T.counts(b).collect()] == [("view", 5, 5.0)]
+    assert [tuple(r) for r in T.drain(T.counts(s), "update", ["event_type"]).collect()] == [tuple(r) for r in T.counts(b).collect()] == [("view", 5, 5.0)]
     assert sorted(r.event_id for r in T.drain(T.first_seen(s, "9 days")).collect()) == [1, 2, 3, 4]
     assert {(r.user_id, r.n) for r in T.sessions(b).collect()} == {(1, 3), (1, 1), (2, 1)}
     closed = T.drain(T.tumbling(s, "1 minute", "1 hour")).collect()  # append: only windows the watermark has passed

@@ -1,8 +1,9 @@
 """Allocation of whole groups to splits, from group counters.
 
-The rules are sequential by nature (each group goes where most is missing), so they run on counters, one per group *size*
-class where groups are interchangeable, and the assignment is joined back. ``greedy`` itself is for strata of bounded
-numbers of groups (sites, surveys); for corpora with unbounded numbers of groups use ``by_hash``, which needs no counters.
+The rules are sequential by nature (each group goes where most is missing). Up to ``MAX_GROUPS`` they run on a counter per group;
+beyond that groups of one size are interchangeable, so only the number of groups of each size reaches the driver (fewer than the
+root of twice the rows), which works out how many of them go to each split; the groups of a size are then dealt out by rank. Both
+give every split the same number of groups of each size. ``by_hash`` needs no counters at all.
 """
 
 from __future__ import annotations
@@ -12,10 +13,13 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.operators.sample import unit
+from tidemill.operators.sample import draw, positions, unit
+from tidemill.session import Scratch
 
-#: Groups that ``greedy`` accepts; their counters reach the driver (about 100 bytes each).
+#: Groups whose counters reach the driver one by one (about 100 bytes each); more are dealt out by size.
 MAX_GROUPS = 1_000_000
+#: Groups of one size that are dealt out one by one; of more, all but the last few in one step.
+ONE_BY_ONE = 10_000
 
 
 def order_of(counts: dict[str, int], seed: str) -> list[str]:
@@ -49,12 +53,51 @@ def repaired(counts: dict[str, int], given: dict[str, str], ratios: dict[str, fl
     return out
 
 
+def deal(size: int, many: int, lack: dict) -> dict:
+    """How many of so many groups of one size go to each key, if each goes to the one that lacks most (ties: the last key).
+    ``lack`` is lowered accordingly."""
+    got = dict.fromkeys(lack, 0)
+    if many > ONE_BY_ONE:
+        # the level to which all that lack more are filled; one group each is left to the steps that follow
+        active = sorted(lack, key=lambda k: -lack[k])
+        while len(active) > 1 and lack[active[-1]] <= (sum(lack[k] for k in active) - many * size) / len(active):
+            active.pop()
+        level = (sum(lack[k] for k in active) - many * size) / len(active)
+        for k in active:
+            n = max(0, int((lack[k] - level) // size) - 1)
+            got[k], lack[k], many = got[k] + n, lack[k] - n * size, many - n
+    for _ in range(many):
+        k = max(lack, key=lambda k: (lack[k], k))
+        got[k] += 1
+        lack[k] -= size
+    return got
+
+
+def _by_size(counts: DataFrame, group: str, lack_of, out: str, kind: str, seed: str) -> DataFrame:
+    """(group, n, out) by the rule of ``deal``, from the number of groups of each size. lack_of: from the number of rows to what
+    each key lacks at first."""
+    counts = Scratch(counts.sparkSession, "allocate").keep(counts)
+    sizes = sorted(((r["n"], r["count"]) for r in counts.groupBy("n").count().collect()), reverse=True)
+    lack, start, ranges = lack_of(sum(n * m for n, m in sizes)), 0, []
+    for n, m in sizes:
+        at = start
+        for k, many in deal(n, m, lack).items():
+            if many:
+                ranges.append((n, at, at + many, k))
+                at += many
+        start += m
+    table = counts.sparkSession.createDataFrame(ranges, f"n bigint, low bigint, high bigint, `{out}` {kind}")
+    spots = positions(counts.withColumns({"_down": -F.col("n"), "_d": draw(group, seed=seed)}), "_down", "_d", group, out="_i")
+    met = spots.join(F.broadcast(table), "n").filter((F.col("_i") >= F.col("low")) & (F.col("_i") < F.col("high")))
+    return met.select(group, "n", out)
+
+
 def greedy(rows: DataFrame, group: str, ratios: dict[str, float], seed: str = "0") -> DataFrame:
-    """(group, n, split) of every non-null group."""
+    """(group, n, split) of every non-null group, largest first to the split that lacks most."""
     n = rows.filter(F.col(group).isNotNull()).groupBy(group).agg(F.count("*").alias("n"))
     got = n.limit(MAX_GROUPS + 1).collect()
     if len(got) > MAX_GROUPS:
-        raise ValueError("too many groups for counters on the driver; allocate by hash")
+        return _by_size(n, group, lambda total: {s: p * total for s, p in ratios.items()}, "split", "string", seed)
     counts = {r[group]: r["n"] for r in got}
     split = repaired(counts, fill(counts, ratios, seed), ratios)
     return rows.sparkSession.createDataFrame([(g, counts[g], split[g]) for g in counts], f"`{group}` string, n bigint, split string")
@@ -129,7 +172,8 @@ def folds(rows: DataFrame, group: str, k: int, seed: str = "0") -> DataFrame:
     n = rows.filter(F.col(group).isNotNull()).groupBy(group).agg(F.count("*").alias("n"))
     got = n.limit(MAX_GROUPS + 1).collect()
     if len(got) > MAX_GROUPS:
-        raise ValueError("too many groups for counters on the driver")
+        out = _by_size(n, group, lambda total: dict.fromkeys(range(0, -k, -1), 0.0), "fold", "int", seed)  # ties to the lowest number
+        return out.withColumn("fold", -F.col("fold"))
     counts, load, out = {r[group]: r["n"] for r in got}, [0] * k, []
     for g in order_of(counts, seed):
         i = min(range(k), key=lambda f: (load[f], f))

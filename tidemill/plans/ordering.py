@@ -64,11 +64,11 @@ def kept_frames(spark: SparkSession, d: str) -> DataFrame:
 
 def nearest_earlier(spark: SparkSession, d: str) -> DataFrame:
     """For each event the user's event before it and the seconds between."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    e = t(spark, d, "events")
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    gap = micros - F.lag(micros).over(w)
-    return e.select("event_id", F.lag("event_id").over(w).alias("earlier"), F.round(gap / 1e6, 6).alias("seconds"))
+    e = t(spark, d, "events").select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    x = S.lagged(e, ["user_id", "at", "event_id"], ["user_id", "event_id", "at"])
+    own = F.col("user_id_before").eqNullSafe(F.col("user_id")) & F.col("at_before").isNotNull()
+    gap = F.round((F.col("at") - F.col("at_before")) / 1e6, 6)
+    return x.select("event_id", F.when(own, F.col("event_id_before")).alias("earlier"), F.when(own, gap).alias("seconds"))
 
 
 def series_completeness(spark: SparkSession, d: str) -> DataFrame:
@@ -90,8 +90,8 @@ def recall_threshold(spark: SparkSession, d: str) -> DataFrame:
 
 def positional_join(spark: SparkSession, d: str) -> DataFrame:
     """Two lists aligned by rank within a key: staged rows and deliveries of a source; surplus rows drop out."""
-    a = t(spark, d, "staged_images").select("source_id", "staged_id", F.row_number().over(Window.partitionBy("source_id").orderBy("staged_id")).alias("i"))
-    b = t(spark, d, "metadata").select("source_id", "row_id", F.row_number().over(Window.partitionBy("source_id").orderBy("row_id")).alias("i"))
+    a = S.ranked(t(spark, d, "staged_images").select("source_id", "staged_id"), "source_id", "staged_id")
+    b = S.ranked(t(spark, d, "metadata").select("source_id", "row_id"), "source_id", "row_id")
     return a.join(b, ["source_id", "i"]).select("staged_id", "row_id")
 
 

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemill.session import shared_dir
 
@@ -26,8 +26,12 @@ def follow(spark: SparkSession, d: str, name: str, files_per_trigger: int = 8) -
     return reader.parquet(path)
 
 
-def drain(out: DataFrame, mode: str = "append", keep: Callable[[DataFrame, int], None] | None = None) -> DataFrame:
-    """Runs a stream over all input there is and returns its result; update and complete keep the last value per key."""
+def drain(out: DataFrame, mode: str = "append", keys: list[str] | None = None) -> DataFrame:
+    """Runs a stream over all input there is and returns its result, with its checkpoint in the shared folder.
+
+    append: rows are final when they come (windows once the watermark has passed them). update: every batch adds the rows it
+    changed with its number, and the last one per ``keys`` counts; state that the watermark has passed is dropped.
+    """
     spark = out.sparkSession
     root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     w = out.writeStream.option("checkpointLocation", f"{root}/state").trigger(availableNow=True)
@@ -35,13 +39,14 @@ def drain(out: DataFrame, mode: str = "append", keep: Callable[[DataFrame, int],
         w.outputMode("append").format("parquet").start(f"{root}/out").awaitTermination()
         return spark.read.schema(out.schema).parquet(f"{root}/out")
 
-    def replace(df: DataFrame, epoch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{root}/out-{epoch % 2}")
-        spark.createDataFrame([(epoch,)], "epoch bigint").coalesce(1).write.mode("overwrite").parquet(f"{root}/last")
+    def add(df: DataFrame, epoch: int) -> None:  # a batch that is run again replaces what it wrote
+        df.write.mode("overwrite").parquet(f"{root}/out/epoch={epoch}")
 
-    w.outputMode("complete").foreachBatch(keep or replace).start().awaitTermination()
-    last = spark.read.parquet(f"{root}/last").first()[0]
-    return spark.read.schema(out.schema).parquet(f"{root}/out-{last % 2}")
+    w.outputMode("update").foreachBatch(add).start().awaitTermination()
+    rest = [c for c in out.columns if c not in (keys or [])]
+    schema = StructType([*out.schema.fields, StructField("epoch", LongType())])
+    all_ = spark.read.schema(schema).parquet(f"{root}/out")
+    return all_.groupBy(*keys).agg(F.max_by(F.struct(*rest), "epoch").alias("_v")).select(*keys, "_v.*").select(*out.columns)
 
 
 def counts(events: DataFrame) -> DataFrame:
@@ -74,8 +79,7 @@ def first_seen(events: DataFrame, late: str = "1 hour") -> DataFrame:
 def grow_map(spark: SparkSession, batch: DataFrame, path: str, key: str, value: str) -> None:
     """Appends the keys that the persisted map doesn't know, each with its smallest value; known keys never move."""
     new = batch.groupBy(key).agg(F.min(value).alias(value))
-    try:
-        known = spark.read.parquet(path)
-    except Exception:  # the first batch
-        known = None
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    known = spark.read.parquet(path) if there else None  # none before the first batch
     (new if known is None else new.join(known.select(key), key, "left_anti")).write.mode("append").parquet(path)
