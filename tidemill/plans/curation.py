@@ -291,6 +291,40 @@ def node_facts(spark: SparkSession, d: str) -> DataFrame:
     return nearest_of_rank(spark, t(spark, d, "taxonomy"), ["family", "order"])
 
 
+def grey_images(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors of 64 numbers as grey images of 8 x 8."""
+    return t(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda v: F.floor(F.least(F.lit(255.0), F.greatest(F.lit(0.0), v.cast("double") * 60 + 128)))).alias("grey"))
+
+
+def image_quality(spark: SparkSession, d: str) -> DataFrame:
+    """Entropy, sharpness and clipping of every image, and whether its code means anything."""
+    from tidemill.operators.pixels import described, featureless
+
+    q = described(grey_images(spark, d), "vec_id", "grey", F.lit(8), ["entropy", "sharpness", "clipped", "spread"])
+    return q.select("vec_id", *(F.round(c, 6).alias(c) for c in ("entropy", "sharpness", "clipped", "spread")), featureless(F.col("entropy")).alias("featureless"))
+
+
+def image_codes(spark: SparkSession, d: str) -> DataFrame:
+    """Difference codes of 9 x 8 images, as they are and mirrored."""
+    from tidemill.operators.pixels import described
+
+    wide = grey_images(spark, d).select("vec_id", F.concat("grey", F.slice("grey", 1, 8)).alias("grey"))  # 72 numbers
+    return described(wide, "vec_id", "grey", F.lit(9), ["dhash", "dhash_mirrored"])
+
+
+def mask_gate(spark: SparkSession, d: str) -> DataFrame:
+    """Rules that masks made from rows of staged images break, and how many of each."""
+    from tidemill.operators.pixels import mask_faults
+
+    n = F.col("staged_id")
+    s = t(spark, d, "staged_images").select(
+        n.alias("image"), "width", "height", F.when(n % 7 == 0, F.col("height")).otherwise(F.col("width")).alias("mask_width"), F.col("height").alias("mask_height"),
+        F.array((n % 5).cast("int"), F.lit(255)).alias("values"), F.when(n % 11 == 0, F.array(F.lit(1), F.lit(2), F.lit(255))).otherwise(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("classes"),
+        F.sequence(F.lit(1), (n % 3 + 1).cast("int")).alias("instances"), F.array(F.lit(0), (n % 4).cast("int")).alias("seen"),
+    )
+    return mask_faults(s).groupBy("fault").agg(F.count("*").alias("n"))
+
+
 def half_equal_quotas(spark: SparkSession, d: str) -> DataFrame:
     """Rows a source gives to a sample that is shared half equally, half by size, and what each row stands for."""
     from tidemill.operators.sample import half_equal_sample
@@ -299,7 +333,8 @@ def half_equal_quotas(spark: SparkSession, d: str) -> DataFrame:
     return s.groupBy("source").agg(F.count("*").alias("n"), F.round(F.sum("weight"), 6).alias("stands_for"))
 
 
-QUERIES = {f.__name__: f for f in (caption_flags, allowed_rows, uuid_licences, node_facts, half_equal_quotas, source_facets, hidden_drop, score_bands, people_scan, resolved_splits, verified_boxes, schema_report, stamped_config, site_mentions, prefix_join, cover_json, code_histogram, lineage_record, band_sample, nearest_prior, audit_sample, place_groups, gradient_codes, mirrored_pairs, oriented_pairs, confirm_kinds, instance_codes, star_links, largest_cluster, twin_conflicts, qa_pairs, presence_rows, mean_precision, logistic_probe, value_cache)}
+QUERIES = {f.__name__: f for f in (caption_flags, allowed_rows, uuid_licences, node_facts, half_equal_quotas, image_quality, image_codes, mask_gate, source_facets, hidden_drop, score_bands, people_scan, resolved_splits, verified_boxes, schema_report, stamped_config, site_mentions, prefix_join, cover_json, code_histogram, lineage_record, band_sample, nearest_prior, audit_sample, place_groups, gradient_codes, mirrored_pairs, oriented_pairs, confirm_kinds, instance_codes, star_links, largest_cluster, twin_conflicts, qa_pairs, presence_rows, mean_precision, logistic_probe, value_cache)}
+GREY = "gr as (select vec_id, list_transform(embedding, lambda v: floor(least(255.0, greatest(0.0, v::double * 60 + 128)))) as g from embeddings where embedding is not null), px as (select vec_id, unnest(g) as v from gr)"
 IMG = f"img as (select *, {D64('image_sha256')} as digest from metadata)"
 HEX = lambda c: f"('0x' || {c})::bigint"
 BITS = lambda a, b: f"bit_count(xor({HEX(f'substr({a}, 1, 8)')}, {HEX(f'substr({b}, 1, 8)')})) + bit_count(xor({HEX(f'substr({a}, 9)')}, {HEX(f'substr({b}, 9)')}))"
@@ -340,6 +375,16 @@ SQL = {
     "caption_flags": f"""with d as (select doc_id, kind, {D64('image_sha256')} as digest, list_sort(list_filter([case when contains(lower(coalesce(text, '')), 'hard coral') then 'HC' end, case when contains(lower(coalesce(text, '')), 'soft coral') then 'SC' end, case when contains(lower(coalesce(text, '')), 'coral rubble') then 'RB' end, case when contains(lower(coalesce(text, '')), 'sand') then 'SD' end, case when contains(lower(coalesce(text, '')), 'algae') then 'ALG' end, case when contains(lower(coalesce(text, '')), 'rock') then 'RCK' end, case when contains(lower(coalesce(text, '')), 'sponge') then 'SP' end], lambda x: x is not null)) as named from documents), n as (select digest, unnest(named) as state from d where kind <> 'caption' and digest is not null),
  l as (select digest, min(state) as label from n group by 1 having min(state) = max(state))
  select doc_id, 'benthic:caption=' || array_to_string(named, ',') || '!=label=' || label as flag from d join l using (digest) where kind = 'caption' and len(named) > 0 and not list_contains(named, label)""",
+    "image_quality": f"""with {GREY}, h as (select vec_id, v, count(*) as n from px group by 1, 2), en as (select vec_id, greatest(0, -sum(n / 64 * log2(n / 64))) as entropy from h group by 1),
+ la as (select vec_id, g[k - 8] + g[k + 8] + g[k - 1] + g[k + 1] - 4 * g[k] as l from gr, (select i * 8 + j + 1 as k from (select unnest(range(1, 7)) as i), (select unnest(range(1, 7)) as j))), sh as (select vec_id, var_pop(l) as sharpness from la group by 1),
+ o as (select vec_id, avg((v <= 0 or v >= 255)::int) as clipped, stddev_pop(v) as spread from px group by 1)
+ select vec_id, round(entropy, 6) as entropy, round(sharpness, 6) as sharpness, round(clipped, 6) as clipped, round(spread, 6) as spread, entropy < 2 as featureless from en join sh using (vec_id) join o using (vec_id)""",
+    "image_codes": f"""with {GREY}, w as (select vec_id, list_concat(g, g[1:8]) as g from gr), k as (select r, c, 63 - (r * 8 + c) as bit from (select unnest(range(0, 8)) as r), (select unnest(range(0, 8)) as c)),
+ b as (select vec_id, sum(case when g[r * 9 + c + 2] > g[r * 9 + c + 1] then 1::ubigint << bit else 0 end) as a, sum(case when g[r * 9 + 8 - c] > g[r * 9 + 9 - c] then 1::ubigint << bit else 0 end) as m from w, k group by 1)
+ select vec_id, printf('%016x', a::ubigint) as dhash, printf('%016x', m::ubigint) as dhash_mirrored from b""",
+    "mask_gate": """with s as (select staged_id as n, width, height, case when staged_id % 7 = 0 then height else width end as mw from staged_images),
+ f as (select n, unnest([case when coalesce(width = mw and height = height, false) then null else 'size' end, case when n % 5 = 4 or (n % 5 = 3 and n % 11 = 0) then 'class' end, case when n % 11 = 0 then 'ignore listed' end, case when n % 4 > n % 3 + 1 then 'stray' end, case when n % 5 = 0 then 'empty' end]) as fault from s)
+ select fault, count(*) as n from f where fault is not null group by 1""",
     "allowed_rows": "select license, count(*) as n from metadata where license in ('CC-BY-4.0', 'CC0-1.0') group by 1",
     "uuid_licences": f"with m as (select row_id, batch, license, substr({D64('image_sha256')}, 1, 32) as u from metadata where {D64('image_sha256')} is not null), k as (select u, arg_min_null(license, row_id) as licence from m where batch = 0 group by 1) select case when k.u is not null then 'matched' else 'unmatched' end as status, licence, count(*) as n from m left join k using (u) group by 1, 2",
     "node_facts": f"""with recursive {NODES}, up as (select node, node as above, 0 as steps from n union all select u.node, n.parent, u.steps + 1 from up u join n on u.above = n.node where n.parent is not null and u.steps < 100),
