@@ -5,12 +5,15 @@ from __future__ import annotations
 import io
 import json
 import tarfile
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemill.operators.sample import running
+
 
 def write_sharded(df: DataFrame, path: str, partition: list[str], order: list[str], rows_per_file: int) -> None:
     """Parquet by partition columns, rows in order within files of at most ``rows_per_file``. Rows of one partition value are
@@ -19,6 +22,52 @@ def write_sharded(df: DataFrame, path: str, partition: list[str], order: list[st
     out.write.option("maxRecordsPerFile", rows_per_file).option("compression", "zstd").partitionBy(*partition).mode("overwrite").parquet(path)
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row as they count for a file's bound: the length of texts and binaries, 8 for every other value, 1 for null."""
+    one = lambda f: F.octet_length(f.name) if f.dataType.typeName() in ("string", "binary") else F.lit(8)
+    parts = [F.coalesce(F.when(F.col(f.name).isNotNull(), one(f)), F.lit(1)).cast("bigint") for f in df.schema.fields]
+    return sum(parts[1:], parts[0])
+
+
+def write_bounded(df: DataFrame, path: str, partition: str, order: str, bytes_per_file: int) -> DataFrame:
+    """Parquet files ``<partition>/<value>-<number>-of-<count>.parquet``, rows in order, each of about ``bytes_per_file`` before
+    compression: a row is in the file that its first byte falls in, so a file holds at most that and one row. Returns the manifest
+    (value, shard, rows, bytes).
+
+    Bytes are summed over all rows in order without one task for a hot value. Files get their names when all are written, so a
+    reader never sees a part of them; null partition values are written as "none".
+    """
+    spark = df.sparkSession
+    value = F.coalesce(F.col(partition).cast("string"), F.lit("none"))
+    x = running(df.withColumns({"_value": value, "_bytes": row_bytes(df)}), ["_value", order], {"_at": F.col("_bytes")})
+    first = x.groupBy("_value").agg(F.min("_at").alias("_first"))
+    x = x.join(F.broadcast(first) if first.count() <= 1 << 16 else first, "_value").withColumn("_shard", F.floor((F.col("_at") - F.col("_first")) / bytes_per_file).cast("int"))
+    dense = F.dense_rank().over(Window.partitionBy("_value").orderBy("_shard")) - 1  # a row per shard
+    shards = x.groupBy("_value", "_shard").agg(F.count("*").alias("rows"), F.sum("_bytes").alias("bytes"))
+    shards = shards.withColumns({"shard": dense, "of": F.count("*").over(Window.partitionBy("_value"))})
+    x = x.join(shards.select("_value", "_shard", "shard", "of"), ["_value", "_shard"])
+    name = F.format_string("%s-%05d-of-%05d", F.col("_value"), "shard", "of")
+    staged = f"{path}/.staged-{uuid.uuid4().hex}"
+    out = x.withColumn("_name", name).repartition("_name").sortWithinPartitions("_name", order)
+    out.select(*df.columns, "_name").write.option("compression", "zstd").partitionBy("_name").parquet(staged)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(hadoop.Path(f"{path}/{partition}"))
+    for folder in system.listStatus(hadoop.Path(staged)):  # one entry per file
+        own = folder.getPath().getName()
+        if own.startswith("_name="):
+            part = next(f.getPath() for f in system.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-"))
+            system.rename(part, hadoop.Path(f"{path}/{partition}/{own[6:]}.parquet"))
+    system.delete(hadoop.Path(staged), True)
+    return shards.select(F.col("_value").alias("value"), "shard", "rows", "bytes")
+
+
+def label_index(df: DataFrame, label: str) -> DataFrame:
+    """(label, number): the labels of tar shards in order, numbered from 0; null labels have none."""
+    n = df.filter(F.col(label).isNotNull()).select(F.col(label).cast("string").alias("label")).distinct()
+    return n.select("label", (F.row_number().over(Window.orderBy("label")) - 1).alias("number"))  # a row per label
+
+
 def tar_shards(df: DataFrame, key: str, payload: str, extension: str, shards: int) -> DataFrame:
     """(shard, members, tar): members sorted by key with a JSON sidecar of the other columns, the tar as binary; rows go to
     shards by the hash of their key, so a shard's size is bounded by the number of shards."""
