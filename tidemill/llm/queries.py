@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemill.llm import bpe, cross_split, groups, history, leaks, lookalike, neighbours, splits  # noqa: F401  what they need is there
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
