@@ -12,7 +12,7 @@ from tidemill.operators import columns as C
 from tidemill.operators import curate as K
 from tidemill.operators import relate as R
 from tidemill.operators import sample as S
-from tidemill.plans.measures import SCO, scored
+from tidemill.plans.measures import CONF, SCO, scored
 from tidemill.plans.problems import NODES
 from tidemill.plans.relations import DH, D64, HAM, codes, images
 from tidemill.plans.scalars import LICENCE, SPLIT, WORD, t
@@ -40,15 +40,26 @@ def hidden_drop(spark: SparkSession, d: str) -> DataFrame:
 
 
 def score_bands(spark: SparkSession, d: str) -> DataFrame:
-    """Images by the greatest of their detection scores: excluded, flagged or clear; an image without detections is clear."""
-    s = t(spark, d, "staged_images").select("staged_id", F.transform(F.sequence(F.lit(0), F.pmod("staged_id", F.lit(4)).cast("int")), lambda i: F.pmod(F.col("staged_id") * (i + 3), F.lit(100)) / 100.0).alias("scores"))
-    top = F.array_max(F.filter("scores", lambda x, i: i > 0))
-    return s.groupBy(F.when(top >= 0.85, "exclude").when(top >= 0.6, "flag").otherwise("clear").alias("band")).agg(F.count("*").alias("n"))
+    """Vectors by the probability of their likeliest class: certain, to be looked at, or open."""
+    top = F.col("score")
+    return scored(spark, d).groupBy(F.when(top >= 0.2, "certain").when(top >= 0.13, "look").otherwise("open").alias("band")).agg(F.count("*").alias("n"))
+
+
+# What may point at a person, by kind.
+PERSONAL = {
+    "person": r"(?i)(^|[^\p{L}])(diver|observer|team|annotator|author|surveyor|photographer|plongeur|buceador|taucher)(e?s|in|innen|es)?([^\p{L}]|$)",
+    "mail": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z]",
+    "phone": r"(^|[^0-9.])\+?[0-9]{2,3}[ /-][0-9]{3,4}[ /-][0-9]{3,5}([^0-9]|$)",
+    "link": r"(?i)(https?://|www\.)[a-z0-9]",
+    "position": r"-?[0-9]{1,3}\.[0-9]{3,}[ ,;/]+-?[0-9]{1,3}\.[0-9]{3,}",
+}
 
 
 def people_scan(spark: SparkSession, d: str) -> DataFrame:
-    p = r"(?i)(^|[^a-z])(diver|observer|team|annotator)s?([^a-z]|$)"
-    return t(spark, d, "documents").filter(F.col("text").rlike(p)).groupBy("kind").agg(F.count("*").alias("rows"), F.countDistinct("source").alias("sources"))
+    """Documents that may point at a person, by kind of text and of finding."""
+    found = F.array_compact(F.array(*(F.when(F.col("text").rlike(p), k) for k, p in PERSONAL.items())))
+    x = t(spark, d, "documents").select("kind", "source", F.explode(found).alias("finding"))
+    return x.groupBy("kind", "finding").agg(F.count("*").alias("rows"), F.countDistinct("source").alias("sources"))
 
 
 def resolved_splits(spark: SparkSession, d: str) -> DataFrame:
@@ -62,11 +73,14 @@ def resolved_splits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def verified_boxes(spark: SparkSession, d: str) -> DataFrame:
-    """Boxes whose verifier passes, all of them for audited rows."""
-    s = t(spark, d, "staged_images").select("staged_id", F.sequence(F.lit(0), F.pmod("staged_id", F.lit(5)).cast("int")).alias("boxes"))
-    s = s.withColumn("scores", F.transform("boxes", lambda i: F.pmod(F.col("staged_id") * 7 + i * 31, F.lit(10)) / 10.0))
-    ok = F.transform(F.filter(F.arrays_zip("boxes", "scores"), lambda z: (z["scores"] >= 0.5) | (F.pmod("staged_id", F.lit(11)) == 0)), lambda z: z["boxes"])
-    return s.select("staged_id", F.array_join(ok.cast("array<string>"), ",").alias("kept"))
+    """Classes of a vector that are likely enough, all of them for vectors that confidently belong to another class than theirs."""
+    from tidemill.operators.measure import confident
+    from tidemill.plans.measures import probabilities
+
+    p = probabilities(spark, d)
+    audited = confident(p).filter("likely <> label").select("key", F.lit(True).alias("audited"))
+    kept = p.join(audited, "key", "left").filter((F.col("p") >= 0.12) | F.col("audited"))
+    return kept.groupBy(F.col("key").alias("vec_id")).agg(F.array_join(F.array_sort(F.collect_list(F.col("class"))).cast("array<string>"), ",").alias("kept"))
 
 
 def schema_report(spark: SparkSession, d: str) -> DataFrame:
@@ -342,10 +356,10 @@ MIRROR = "array_to_string(list_transform(range(0, 8), lambda i: reverse(substr(t
 SQL = {
     "source_facets": f"with s as (select source_id, list(distinct {WORD('platform')}) as p, list(distinct {LICENCE}) as l, count(*) as n from metadata group by 1), r as (select source_id, n, list_filter([case when not coalesce(list_contains(p, 'diver'), false) then 'platforms: no diver' end, case when not list_has_any(l, ['CC0-1.0', 'CC-BY-NC-4.0', 'global']) then 'licences: none of CC0-1.0, CC-BY-NC-4.0' end, case when n < 30 then 'n: below 30' end], lambda x: x is not null) as r from s) select source_id, n, len(r) = 0 as match, r[1] as reason from r",
     "hidden_drop": f"with {IMG}, h as (select distinct {D64('key')} as k from emb) select batch, count(*) as kept from img where digest is not null and not (digest in (select k from h where k is not null) and digest not in (select digest from img where batch = 0 and digest is not null)) group by 1",
-    "score_bands": "with s as (select staged_id, list_max(list_transform(range(1, (staged_id % 4 + 1)::int), lambda i: ((staged_id * (i + 3)) % 100) / 100.0::double)) as top from staged_images) select case when top >= 0.85 then 'exclude' when top >= 0.6 then 'flag' else 'clear' end as band, count(*) as n from s group by 1",
-    "people_scan": "select kind, count(*) as rows, count(distinct source) as sources from documents where regexp_matches(text, '(?i)(^|[^a-z])(diver|observer|team|annotator)s?([^a-z]|$)') group by 1",
+    "score_bands": f"with {SCO} select case when score >= 0.2 then 'certain' when score >= 0.13 then 'look' else 'open' end as band, count(*) as n from s group by 1",
+    "people_scan": "select kind, finding, count(*) as rows, count(distinct source) as sources from (select kind, source, unnest([" + ", ".join(f"case when regexp_matches(text, '{p}') then '{k}' end" for k, p in PERSONAL.items()) + "]) as finding from documents) where finding is not null group by 1, 2",
     "resolved_splits": f"with s as (select {SPLIT('upstream_split')} as s, string_split(lower(upstream_path), '/') as d from staged_images), f as (select s, case when len(list_filter(d, lambda x: x = 'train' or (length(x) >= 3 and starts_with('train', x)))) > 0 then 'train' when len(list_filter(d, lambda x: x = 'val' or (length(x) >= 3 and starts_with('val', x)))) > 0 then 'val' when len(list_filter(d, lambda x: x = 'test' or (length(x) >= 3 and starts_with('test', x)))) > 0 then 'test' end as f from s) select coalesce(s, f, 'all') as split, case when s is not null then 'named' when f is not null then 'folder' else 'all' end as how, count(*) as n from f group by 1, 2",
-    "verified_boxes": "select staged_id, coalesce(array_to_string(list_filter(range(0, (staged_id % 5 + 1)::int), lambda i: ((staged_id * 7 + i * 31) % 10) / 10.0::double >= 0.5 or staged_id % 11 = 0), ','), '') as kept from staged_images",
+    "verified_boxes": f"with {CONF}, a as (select vec_id from cf where likely <> label) select vec_id, string_agg(c::varchar, ',' order by c) as kept from pr where p >= 0.12 or vec_id in (select vec_id from a) group by 1",
     "schema_report": " union all ".join(f"select '{c}' as field, count(*) filter ({c} is null) as nulls from metadata" for c in ("row_id", "image_sha256", "source_id", "batch", "location_generalized", "ingested_at")),
     "stamped_config": f"with {IMG}, r as (select digest, nullif({WORD('bytes_config')}, 'withheld') as c from img where digest is not null), b as (select digest, min(c) as f from r group by 1) select coalesce(c, f, 'images') as config, count(*) as n from r join b using (digest) group by 1",
     "site_mentions": r"with x as (select doc_id, nullif(regexp_extract(text, '\b([A-Z]{3}-[A-Z]?[0-9]{3,4})\b', 1), '') as site_id from documents) select doc_id, site_id, site_id in (select site_id from noaa_esd) as known from x where site_id is not null",

@@ -68,9 +68,10 @@ def pins(spark: SparkSession, d: str) -> DataFrame:
 
 
 def inherited(spark: SparkSession, d: str) -> DataFrame:
-    """Sites whose earlier batches agree on a split inherit it; those that disagree are withheld."""
+    """Sites whose batches before the newest agree on a split inherit it; those that disagree are withheld."""
     m = t(spark, d, "metadata").select("site_id", "batch", C.split_name(F.col("split")).alias("split")).filter("site_id is not null and split is not null")
-    by = m.groupBy("site_id").agg(F.countDistinct(F.when(F.col("batch") < 6, F.col("split"))).alias("n"), F.min(F.when(F.col("batch") < 6, F.col("split"))).alias("s"))
+    early = F.when(F.col("batch") < t(spark, d, "metadata").agg(F.max("batch")).scalar(), F.col("split"))
+    by = m.groupBy("site_id").agg(F.countDistinct(early).alias("n"), F.min(early).alias("s"))
     return by.select("site_id", F.when(F.col("n") == 1, F.col("s")).alias("split"), F.when(F.col("n") == 1, "inherited").when(F.col("n") > 1, "withheld").otherwise("new").alias("rule"))
 
 
@@ -137,7 +138,7 @@ SQL = {
     "ood_holdouts": "with b as (select site_id, count(*) as n, bool_or(depth_m is not null and not isnan(depth_m) and depth_m > 38) as a, bool_or(coalesce(capture_datetime >= timestamp '2023-06-01', false)) as l, bool_or(coalesce(platform = 'towed', false)) as t from metadata where site_id is not null group by 1) select site_id, case when a then 'deep' when l then 'late' when t then 'towed' end as rule, n from b where a or l or t",
     "upstream_test": f"select {WORD('split_group')} as grp, bool_or(coalesce({SPLIT('upstream_split')} = 'test', false)) as forced, count(*) as n from staged_images where {WORD('split_group')} is not null group by 1",
     "pins": f"with m as (select {D64('image_sha256')} as digest, {SPLIT('split')} as s from metadata) select digest, case min(case s when 'test' then 0 when 'val' then 1 else 2 end) when 0 then 'test' when 1 then 'val' else 'train' end as pin from m where digest is not null and s is not null group by 1",
-    "inherited": f"with m as (select site_id, batch, {SPLIT('split')} as s from metadata where site_id is not null), b as (select site_id, count(distinct s) filter (batch < 6) as n, min(s) filter (batch < 6) as s from m where s is not null group by 1) select site_id, case when n = 1 then s end as split, case when n = 1 then 'inherited' when n > 1 then 'withheld' else 'new' end as rule from b",
+    "inherited": f"with m as (select site_id, batch, {SPLIT('split')} as s from metadata where site_id is not null), b as (select site_id, count(distinct s) filter (batch < (select max(batch) from metadata)) as n, min(s) filter (batch < (select max(batch) from metadata)) as s from m where s is not null group by 1) select site_id, case when n = 1 then s end as split, case when n = 1 then 'inherited' when n > 1 then 'withheld' else 'new' end as rule from b",
     "province_choice": "with s as (select island, count(distinct site_id) as n from (select distinct island, site_id from noaa_esd) group by 1) select island from s order by abs(n - 0.05 * (select sum(n) from s)), island limit 1",
     "label_map": f"with e as (select distinct {WORD('key')} as label, {WORD('parent')} as target from taxonomy where kind = 'edge'), o as (select distinct {WORD('key')} as label from taxonomy where kind = 'node') select label, target, true as mapped from e where label is not null union all select label, null, false from o where label is not null and label not in (select label from e where label is not null)",
     "hierarchy_faults": f"with n as (select distinct {WORD('key')} as k, {WORD('parent')} as p, taxonomy_version from taxonomy where kind = 'node') select count(*) filter (p is not null and p not in (select k from n where k is not null)) as unknown_parent, count(*) filter (k = p) as own_parent, count(distinct k) as keys from n",

@@ -184,9 +184,11 @@ def schema_union(spark: SparkSession, d: str) -> DataFrame:
 
 
 def manifest_diff(spark: SparkSession, d: str) -> DataFrame:
-    """Keys added, removed, changed and kept between the first and the last taxonomy version."""
-    v = t(spark, d, "taxonomy").filter("kind = 'node'").select(word(F.col("key")).alias("k"), word(F.col("parent")).alias("p"), "taxonomy_version")
-    old, new = (v.filter(F.col("taxonomy_version") == x).groupBy("k").agg(F.min("p").alias("p")) for x in ("3.9.0", "3.10.0"))
+    """Keys added, removed, changed and kept between the first and the last taxonomy version, whose numbers are compared one by
+    one."""
+    number = F.transform(F.split("taxonomy_version", r"\."), lambda x: x.try_cast("int"))
+    v = t(spark, d, "taxonomy").filter("kind = 'node' and taxonomy_version is not null").select(word(F.col("key")).alias("k"), word(F.col("parent")).alias("p"), number.alias("v"))
+    old, new = (v.filter(F.col("v") == v.agg(f("v")).scalar()).groupBy("k").agg(F.min("p").alias("p")) for f in (F.min, F.max))
     return R.difference(old, new, "k", "p").groupBy("change").agg(F.count("*").alias("n"))
 
 
@@ -210,9 +212,10 @@ def manifest_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 
 def vocabulary_coverage(spark: SparkSession, d: str) -> DataFrame:
-    """Ranks observed in the taxonomy against a list of mapped ranks: mapped, unmapped and unused."""
-    known = spark.createDataFrame([("species",), ("genus",), ("family",), ("order",), ("tribe",)], "rank string")
-    seen = t(spark, d, "taxonomy").groupBy(word(F.col("rank")).alias("rank")).agg(F.count("*").alias("n")).filter("rank is not null")
+    """Ranks of nodes against the ranks that edges map: mapped, unmapped and unused."""
+    rows = t(spark, d, "taxonomy").select("kind", word(F.col("rank")).alias("rank")).filter("rank is not null")
+    known = rows.filter("kind = 'edge'").select("rank").distinct()
+    seen = rows.filter("kind = 'node'").groupBy("rank").agg(F.count("*").alias("n"))
     j = seen.alias("s").join(known.alias("k"), F.col("s.rank") == F.col("k.rank"), "full_outer")
     kind = F.when(F.col("k.rank").isNull(), "unmapped").when(F.col("s.rank").isNull(), "unused").otherwise("mapped")
     return j.select(F.coalesce("s.rank", "k.rank").alias("rank"), kind.alias("kind"), F.coalesce("n", F.lit(0)).alias("n"))
@@ -266,11 +269,11 @@ SQL = {
     "channel_union": f"with p as (select {D64('sha_a')} as x, {D64('sha_b')} as y, {WORD('channels')} as c from pairs) select least(x, y) as sha_a, greatest(x, y) as sha_b, bit_or(case when c = 'dhash' then 1 when c = 'phash64' then 2 when c = 'embed' then 4 else 8 end)::int as bits from p where x is not null and y is not null and x <> y group by 1, 2",
     "digest_sets": f"with u as (select {D64('image_sha256')} as k, 'metadata' as held from metadata union all select {D64('sha256')}, 'phash' from phash union all select {D64('key')}, 'emb' from emb), b as (select k, string_agg(distinct held, '+' order by held) as held from u where k is not null group by 1) select held, count(*) as n from b group by 1",
     "schema_union": "select 'metadata' as origin, count(*) as n, count(lat) as lats, 0 as widths, count(distinct source_id) as sources from metadata union all select 'staged', count(*), 0, count(width), count(distinct source_id) from staged_images",
-    "manifest_diff": f"with v as (select {WORD('key')} as k, {WORD('parent')} as p, taxonomy_version as v from taxonomy where kind = 'node'), o as (select k, min(p) as p from v where v = '3.9.0' group by 1), n as (select k, min(p) as p from v where v = '3.10.0' group by 1) select case when o.k is null then 'added' when n.k is null then 'removed' when o.p is distinct from n.p then 'changed' else 'kept' end as change, count(*) as n from o full join n on o.k = n.k group by 1",
+    "manifest_diff": f"with v as (select {WORD('key')} as k, {WORD('parent')} as p, list_transform(string_split(taxonomy_version, '.'), lambda x: x::int) as v from taxonomy where kind = 'node' and taxonomy_version is not null), o as (select k, min(p) as p from v where v = (select min(v) from v) group by 1), n as (select k, min(p) as p from v where v = (select max(v) from v) group by 1) select case when o.k is null then 'added' when n.k is null then 'removed' when o.p is distinct from n.p then 'changed' else 'kept' end as change, count(*) as n from o full join n on o.k = n.k group by 1",
     "alias_collapse": f"with n as (select distinct {WORD('key')} as k, {WORD('name')} as name from taxonomy where kind = 'node'), m as (select name, min(k) as t from n where name is not null and k is not null group by 1) select k, min(t) as \"into\" from n join m using (name) where k <> t group by 1",
     "per_config_counts": f"with {IMG}, m as (select {WORD('bytes_config')} as config, s, digest from img) select config, count(distinct digest) filter (s = 'train') as train, count(distinct digest) filter (s = 'val') as val, count(distinct digest) filter (s = 'test') as test from m where config is not null group by 1",
     "manifest_coverage": f"with {IMG}, e as (select distinct {D64('key')} as digest, 1 as has from emb), m as (select distinct source_id, digest from img where digest is not null) select source_id, count(has) as covered, count(*) as images, round(count(has) / count(*), 6) as share from m left join e using (digest) group by 1",
-    "vocabulary_coverage": f"with k as (select unnest(['species', 'genus', 'family', 'order', 'tribe']) as rank), s as (select {WORD('rank')} as rank, count(*) as n from taxonomy group by 1) select coalesce(s.rank, k.rank) as rank, case when k.rank is null then 'unmapped' when s.rank is null then 'unused' else 'mapped' end as kind, coalesce(n, 0) as n from (select * from s where rank is not null) s full join k on s.rank = k.rank",
+    "vocabulary_coverage": f"with r as (select kind, {WORD('rank')} as rank from taxonomy), k as (select distinct rank from r where kind = 'edge' and rank is not null), s as (select rank, count(*) as n from r where kind = 'node' and rank is not null group by 1) select coalesce(s.rank, k.rank) as rank, case when k.rank is null then 'unmapped' when s.rank is null then 'unused' else 'mapped' end as kind, coalesce(n, 0) as n from s full join k on s.rank = k.rank",
     "table_fingerprint": """with h as (select sha256('{"n_nationkey":"' || n_nationkey || '","n_name":"' || n_name || '","n_regionkey":"' || n_regionkey || '"}') as h from nation),
  s as (select count(*) as rows, sum(('0x' || substr(h, 1, 15))::bigint)::varchar as a, sum(('0x' || substr(h, 16, 15))::bigint)::varchar as b, sum(('0x' || substr(h, 31, 15))::bigint)::varchar as c, sum(('0x' || substr(h, 46, 15))::bigint)::varchar as d from h)
  select rows, sha256(concat_ws(':', rows, a, b, c, d)) as digest from s""",

@@ -158,12 +158,13 @@ def wilson_by_source(spark: SparkSession, d: str) -> DataFrame:
 
 
 def leak_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Whole-token mentions of listed names in any text column of the documents."""
+    """Identifiers of sites and sources that stand as whole words in a text column of the documents."""
+    m, e = t(spark, d, "metadata"), t(spark, d, "noaa_esd")
+    known = e.select(F.trim("site_id").alias("name")).union(m.select(F.trim("site_id"))).union(m.select(F.trim("source_id"))).filter("name <> ''").distinct()
     docs = t(spark, d, "documents")
-    ids = "quadrat|transect|crosswalk"
-    pattern = rf"(^|[^A-Za-z0-9_-])({ids})([^A-Za-z0-9_-]|$)"
-    cols = F.array(*(F.when(F.col(c).rlike(pattern), c) for c in ("text", "source", "kind")))
-    return docs.select("doc_id", F.explode(F.array_compact(cols)).alias("column")).groupBy("column").agg(F.count("*").alias("n"))
+    words = lambda c: docs.select("doc_id", F.lit(c).alias("column"), F.explode(F.array_distinct(F.regexp_extract_all(c, F.lit("[A-Za-z0-9_-]+"), F.lit(0)))).alias("name"))
+    found = words("text").union(words("kind")).join(known, "name", "left_semi")
+    return found.groupBy("column", "name").agg(F.count("*").alias("n"))
 
 
 def frame_steps(spark: SparkSession, d: str) -> DataFrame:
@@ -223,6 +224,6 @@ SQL = {
     "json_attrs": "select event_type, sum((props::json->>'$.k')::int)::bigint as k, count(*) filter ((props::json->>'$.k') is null) as missing from events group by 1",
     "size_bands": "select source_id, count(*) as n, case when count(*) < 1000 then 'n<1K' when count(*) < 10000 then '1K<n<10K' when count(*) < 100000 then '10K<n<100K' when count(*) < 1000000 then '100K<n<1M' else 'n>1M' end as band from metadata group by 1",
     "wilson_by_source": "with a as (select source_id, count(lat) as k, count(*) as n, 1.959963984540054 as z from metadata group by 1) select source_id, k, n, round(greatest(0, (k/n + z*z/(2*n) - z*sqrt((k/n)*(1-k/n)/n + z*z/(4*n*n))) / (1 + z*z/n)), 6) as low, round(least(1, (k/n + z*z/(2*n) + z*sqrt((k/n)*(1-k/n)/n + z*z/(4*n*n))) / (1 + z*z/n)), 6) as high from a",
-    "leak_scan": "with s as (select doc_id, unnest([case when regexp_matches(text, p) then 'text' end, case when regexp_matches(source, p) then 'source' end, case when regexp_matches(kind, p) then 'kind' end]) as c from documents, (select '(^|[^A-Za-z0-9_-])(quadrat|transect|crosswalk)([^A-Za-z0-9_-]|$)' as p)) select c as \"column\", count(*) as n from s where c is not null group by 1",
+    "leak_scan": "with k as (select trim(site_id) as name from noaa_esd union select trim(site_id) from metadata union select trim(source_id) from metadata), w as (select distinct doc_id, 'text' as c, unnest(regexp_extract_all(text, '[A-Za-z0-9_-]+')) as name from documents union all select distinct doc_id, 'kind', unnest(regexp_extract_all(kind, '[A-Za-z0-9_-]+')) from documents) select c as \"column\", name, count(*) as n from w where name in (select name from k where name <> '') group by 1, 2",
     "frame_steps": "select staged_id, unnest(range(0, (staged_id % 90 + 10)::int, 25))::int as frame from staged_images",
 }
