@@ -167,6 +167,18 @@ def test_backfill_and_increments_agree(spark):
     assert {tuple(r) for r in history.last_batch(spark, m, p).collect()} == {x for x in want if set(x) & late}
 
 
+def test_probes_that_are_not_broadcast(spark, monkeypatch):
+    """Beyond the bound the probes are shuffled to the keys, which stay in their buckets; groups larger than a cell are cut."""
+    m, p, codes, meta = tables(spark, 5)
+    monkeypatch.setattr(history, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(history, "CELL_ROWS", 40)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert {tuple(r) for r in history.backfill(spark, m, p).collect()} == history_truth(meta, codes)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_empty_tables(spark):
     m, p, _, _ = tables(spark)
     e = spark.createDataFrame([], "key string, vec array<float>")
