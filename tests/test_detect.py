@@ -129,3 +129,15 @@ def test_fingerprint_counts_rows_in_any_order(spark):
     assert same == relate.fingerprint(df.orderBy(F.desc("k")), ["k", "v"]).first() and same["rows"] == 3
     assert same != relate.fingerprint(df.distinct(), ["k", "v"]).first()
     assert relate.fingerprint(df.limit(0), ["k", "v"]).first()["rows"] == 0
+
+
+def test_endings_padding_and_classes(spark):
+    keys = ["a/B.PNG", "x.tar.GZ", "http://h/p.jpg?x=1.gif#y", ".hidden", "none", None, "a.b/c"]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    assert [r[0] for r in df.select(C.suffix_of(F.col("k"))).collect()] == ["png", "tar.gz", "jpg", None, None, None, None]
+    low, high = C.padded_box(F.lit(2.5), F.lit(10.0), 0.1, F.lit(13))
+    assert tuple(df.select(low, high).first()) == (2, 13)
+    low, high = C.padded_box(F.lit(0.2), F.lit(1.0), 0.3, F.lit(9))
+    assert tuple(df.select(low, high).first()) == (0, 2)
+    df = spark.createDataFrame([("b", [0, 1, 7]), ("z", None), (None, [])], "l string, p array<int>")
+    assert [tuple(r) for r in df.select(C.class_id(F.col("l"), ["a", "b"]), C.remapped(F.col("p"), [5, 6])).collect()] == [(1, [5, 6, 255]), (255, None), (255, [])]

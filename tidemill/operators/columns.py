@@ -129,3 +129,27 @@ def uuid_in(*texts: Column) -> Column:
     """The first uuid that stands in one of the texts, in lower case; null where none holds one."""
     pattern = "[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
     return F.coalesce(*(F.nullif(F.regexp_extract(F.lower(c), pattern, 0), F.lit("")) for c in texts))
+
+
+def suffix_of(key: Column) -> Column:
+    """The ending of a key or address in lower case, without query and fragment; of archives both endings (tar.gz); null without."""
+    name = F.regexp_replace(F.regexp_replace(F.lower(key), "[?#].*$", ""), "^.*/", "")
+    return F.nullif(F.regexp_extract(name, r"[^.]\.((?:tar\.)?[a-z0-9]+)$", 1), F.lit(""))
+
+
+def padded_box(low: Column, length: Column, pad: float, limit: Column) -> tuple[Column, Column]:
+    """Low and high end of a box side that is widened by a share of its length at either end: rounded half to even, and clamped to
+    the image."""
+    more = length * pad
+    return F.greatest(F.lit(0), F.bround(low - more, 0).cast("int")), F.least(limit.cast("int"), F.bround(low + length + more, 0).cast("int"))
+
+
+def class_id(label: Column, classes: list[str], ignore: int = 255) -> Column:
+    """The place of a label in a list of classes; ``ignore`` for null and for what is not on it."""
+    return F.coalesce(F.nullif(F.array_position(F.array(*(F.lit(c) for c in classes)), label), F.lit(0).cast("bigint")).cast("int") - 1, F.lit(ignore))
+
+
+def remapped(pixels: Column, table: list[int], ignore: int = 255) -> Column:
+    """Pixels looked up in a table; ``ignore`` for values outside it."""
+    lut = F.array(*(F.lit(v) for v in table))
+    return F.transform(pixels, lambda v: F.coalesce(F.get(lut, v), F.lit(ignore)))

@@ -339,6 +339,29 @@ def mask_gate(spark: SparkSession, d: str) -> DataFrame:
     return mask_faults(s).groupBy("fault").agg(F.count("*").alias("n"))
 
 
+def class_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Labels of edges by the class of their target: the nearest family above it, numbered in the order of names; else 255."""
+    from tidemill.operators.hierarchy import nearest_of_rank
+
+    tax = t(spark, d, "taxonomy")
+    facts = nearest_of_rank(spark, tax, ["family"]).select(F.col("node_key").alias("target"), "code")
+    edges = tax.filter("kind = 'edge'").select(word(F.col("key")).alias("label"), word(F.col("parent")).alias("target")).filter("label is not null").distinct()
+    names = sorted(r[0] for r in facts.select("code").dropna().distinct().collect())[:255]  # one id a class
+    return edges.join(facts, "target", "left").select("label", "target", C.class_id(F.col("code"), names).alias("id"))
+
+
+def path_endings(spark: SparkSession, d: str) -> DataFrame:
+    return t(spark, d, "staged_images").groupBy(C.suffix_of(F.col("upstream_path")).alias("suffix")).agg(F.count("*").alias("n"))
+
+
+def check_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Deliveries by the outcome of their checks: passed, failed, or nothing to check."""
+    m = t(spark, d, "metadata")
+    bad = (F.col("lat").isNull() != F.col("lon").isNull()) | (F.col("capture_datetime").cast("date") > F.col("fetch_date"))
+    status = F.when(digest(F.col("image_sha256")).isNull(), "nothing").when(F.coalesce(bad, F.lit(False)), "failed").otherwise("passed")
+    return m.groupBy(status.alias("status")).agg(F.count("*").alias("n"), F.countDistinct("source_id").alias("sources"))
+
+
 def half_equal_quotas(spark: SparkSession, d: str) -> DataFrame:
     """Rows a source gives to a sample that is shared half equally, half by size, and what each row stands for."""
     from tidemill.operators.sample import half_equal_sample
@@ -347,7 +370,7 @@ def half_equal_quotas(spark: SparkSession, d: str) -> DataFrame:
     return s.groupBy("source").agg(F.count("*").alias("n"), F.round(F.sum("weight"), 6).alias("stands_for"))
 
 
-QUERIES = {f.__name__: f for f in (caption_flags, allowed_rows, uuid_licences, node_facts, half_equal_quotas, image_quality, image_codes, mask_gate, source_facets, hidden_drop, score_bands, people_scan, resolved_splits, verified_boxes, schema_report, stamped_config, site_mentions, prefix_join, cover_json, code_histogram, lineage_record, band_sample, nearest_prior, audit_sample, place_groups, gradient_codes, mirrored_pairs, oriented_pairs, confirm_kinds, instance_codes, star_links, largest_cluster, twin_conflicts, qa_pairs, presence_rows, mean_precision, logistic_probe, value_cache)}
+QUERIES = {f.__name__: f for f in (caption_flags, allowed_rows, uuid_licences, node_facts, class_ids, path_endings, check_totals, half_equal_quotas, image_quality, image_codes, mask_gate, source_facets, hidden_drop, score_bands, people_scan, resolved_splits, verified_boxes, schema_report, stamped_config, site_mentions, prefix_join, cover_json, code_histogram, lineage_record, band_sample, nearest_prior, audit_sample, place_groups, gradient_codes, mirrored_pairs, oriented_pairs, confirm_kinds, instance_codes, star_links, largest_cluster, twin_conflicts, qa_pairs, presence_rows, mean_precision, logistic_probe, value_cache)}
 GREY = "gr as (select vec_id, list_transform(embedding, lambda v: floor(least(255.0, greatest(0.0, v::double * 60 + 128)))) as g from embeddings where embedding is not null), px as (select vec_id, unnest(g) as v from gr)"
 IMG = f"img as (select *, {D64('image_sha256')} as digest from metadata)"
 HEX = lambda c: f"('0x' || {c})::bigint"
@@ -399,6 +422,12 @@ SQL = {
     "mask_gate": """with s as (select staged_id as n, width, height, case when staged_id % 7 = 0 then height else width end as mw from staged_images),
  f as (select n, unnest([case when coalesce(width = mw and height = height, false) then null else 'size' end, case when n % 5 = 4 or (n % 5 = 3 and n % 11 = 0) then 'class' end, case when n % 11 = 0 then 'ignore listed' end, case when n % 4 > n % 3 + 1 then 'stray' end, case when n % 5 = 0 then 'empty' end]) as fault from s)
  select fault, count(*) as n from f where fault is not null group by 1""",
+    "class_ids": f"""with recursive {NODES}, up as (select node, node as above, 0 as steps from n union all select u.node, n.parent, u.steps + 1 from up u join n on u.above = n.node where n.parent is not null and u.steps < 100),
+ t as (select node from n where parent is null union all select n.node from n join t on n.parent = t.node), r as (select u.node, u.above, u.steps from up u join n on n.node = u.above where n.rank = 'family' and (u.node in (select node from t) or u.steps = 0)),
+ f as (select node, above from r qualify row_number() over (partition by node order by steps) = 1), c as (select above, row_number() over (order by above) - 1 as i from (select distinct above from f)),
+ e as (select distinct {WORD('key')} as label, {WORD('parent')} as target from taxonomy where kind = 'edge') select label, target, coalesce(case when i < 255 then i end, 255)::int as id from e left join f on f.node = target left join c on c.above = f.above where label is not null""",
+    "path_endings": r"select nullif(regexp_extract(regexp_replace(regexp_replace(lower(upstream_path), '[?#].*$', ''), '^.*/', ''), '[^.]\.((?:tar\.)?[a-z0-9]+)$', 1), '') as suffix, count(*) as n from staged_images group by 1",
+    "check_totals": f"select case when {D64('image_sha256')} is null then 'nothing' when coalesce((lat is null) <> (lon is null) or capture_datetime::date > fetch_date, false) then 'failed' else 'passed' end as status, count(*) as n, count(distinct source_id) as sources from metadata group by 1",
     "allowed_rows": "select license, count(*) as n from metadata where license in ('CC-BY-4.0', 'CC0-1.0') group by 1",
     "uuid_licences": f"with m as (select row_id, batch, license, substr({D64('image_sha256')}, 1, 32) as u from metadata where {D64('image_sha256')} is not null), k as (select u, arg_min_null(license, row_id) as licence from m where batch = 0 group by 1) select case when k.u is not null then 'matched' else 'unmatched' end as status, licence, count(*) as n from m left join k using (u) group by 1, 2",
     "node_facts": f"""with recursive {NODES}, up as (select node, node as above, 0 as steps from n union all select u.node, n.parent, u.steps + 1 from up u join n on u.above = n.node where n.parent is not null and u.steps < 100),
